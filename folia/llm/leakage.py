@@ -37,6 +37,8 @@ HELD, CHANGED = 0.5, 0.1
 _BROKEN = re.compile(r"(?<=[^\W\d_])[-‐­¬][ \t]*\n[ \t>|#;*%]*(?=[^\W\d_])")
 _TAG = re.compile(r"</?[A-Za-z][^<>\n]{0,80}>|\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?(?=\{)|\]\([^()\s]{1,120}\)|\[\[[^\[\]|\n]{1,80}\||\{\{[^{}|\n]{1,40}\||[\x00-\x08\x0e-\x1f].")
 _WORD = re.compile(r"[^\W_]+")
+#: Combining signs.
+ACCENTS = re.compile(r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃰︠-゙゚︯]+")
 
 
 def words(text: str) -> list[str]:
@@ -45,7 +47,7 @@ def words(text: str) -> list[str]:
         text = html.unescape(text)
     text = skeleton(_BROKEN.sub("", _TAG.sub("", text))).casefold()
     if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+        text = ACCENTS.sub("", unicodedata.normalize("NFKD", text))
     return _WORD.findall(text)
 
 

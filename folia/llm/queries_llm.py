@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import leakage, lookalike, mojibake, tokenize
+from folia.llm import leakage, lookalike, mojibake, scanned, tokenize
 from folia.sources.tables import table
 
 
@@ -16,6 +16,14 @@ def p3_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.normalized(table(spark, sf_dir, "project_regions"), id_col="id", text_cols=["source_text", "ocr_text"])
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.defects(table(spark, sf_dir, "project_regions"))
+
+
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.paragraphs(table(spark, sf_dir, "project_regions"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode_texts(table(spark, sf_dir, "documents"))
 
@@ -32,5 +40,5 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.restored(table(spark, sf_dir, "documents"), id_col="doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p6_ids, p7_found, p8_found, p8_restored)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p5_found, p5_paragraphs, p6_ids, p7_found, p8_found, p8_restored)}
 SQL: dict[str, str] = {}

@@ -34,11 +34,11 @@ from folia.plans.broadcasts import small_side
 #: Share of an item's words that make a leak, and of a stretch's words that may be changed.
 HELD, CHANGED = 0.5, 0.1
 
-_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐­¬][ \t]*\n[ \t>|#;*%]*(?=[^\W\d_])")
+_BROKEN = re.compile("(?<=[^\\W\\d_])[-‐­¬][ \\t]*\\n[ \\t>|#;*%]*(?=[^\\W\\d_])")
 _TAG = re.compile(r"</?[A-Za-z][^<>\n]{0,80}>|\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?(?=\{)|\]\([^()\s]{1,120}\)|\[\[[^\[\]|\n]{1,80}\||\{\{[^{}|\n]{1,40}\||[\x00-\x08\x0e-\x1f].")
 _WORD = re.compile(r"[^\W_]+")
 #: Combining signs.
-ACCENTS = re.compile(r"[̀-ͯ᪰-᫿᷀-᷿⃐-⃰︠-゙゚︯]+")
+ACCENTS = re.compile("[̀-ͯ᪰-᫿᷀-᷿⃐-⃿゙゚︠-︯]+")
 
 
 def words(text: str) -> list[str]:

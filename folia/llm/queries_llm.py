@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folia.llm import leakage, lookalike, mojibake, scanned, tokenize
+from folia.llm import leakage, lookalike, markup, mojibake, scanned, tokenize
 from folia.sources.tables import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.found(table(spark, sf_dir, "project_regions"), table(spark, sf_dir, "source_selectors"), table(spark, sf_dir, "sources"))
+
+
+def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.cleaned(table(spark, sf_dir, "project_regions"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.same_look(table(spark, sf_dir, "project_regions"))
 
@@ -40,5 +48,5 @@ def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.restored(table(spark, sf_dir, "documents"), id_col="doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p5_found, p5_paragraphs, p6_ids, p7_found, p8_found, p8_restored)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_clean, p3_found, p3_normalized, p5_found, p5_paragraphs, p6_ids, p7_found, p8_found, p8_restored)}
 SQL: dict[str, str] = {}

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folia.plans.samples import bounded_sample
+
 #: Texts of the sample that the bigrams are counted on, at most.
 SAMPLE_TEXTS = 3_000
 #: Log-price of a change of script between two letters of a word, and of an unseen pair.
@@ -189,8 +191,7 @@ def fit(texts: Iterable[str]) -> dict[tuple[str, str], int]:
 
 def speller_pairs(df: DataFrame, text_cols: list[str], *, sample_texts: int = SAMPLE_TEXTS) -> dict[tuple[str, str], int]:
     """Bigrams of at most ``sample_texts`` rows, those of the lowest hash of their texts."""
-    h = F.xxhash64(*text_cols)
-    rows = df.select(*text_cols).distinct().withColumn("_h", h).orderBy("_h").limit(sample_texts).drop("_h").collect()
+    rows = bounded_sample(df.select(*text_cols), text_cols, sample_texts).collect()
     return fit(t for r in rows for t in r if t)
 
 

@@ -1 +1 @@
-
+"""Streaming front ends; batch operators stay the definition of every result."""

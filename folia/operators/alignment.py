@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folia.functions.frames import frame
+
 #: Cells of one alignment table that are held at once; longer pairs are cut by Hirschberg's method.
 MAX_CELLS = 4_000_000
 
@@ -96,8 +98,8 @@ def edit_breakdown(pairs: DataFrame, *by: str, words: bool = False) -> DataFrame
             for a, b in zip(pdf["text"], pdf["predicted"]):
                 x, y = (a.split(), b.split()) if words else (a, b)
                 out.append((0, 0, 0, len(x)) if a == b else edit_counts(x, y))
-            counts = pd.DataFrame(out, columns=["insertions", "deletions", "substitutions", "correct"])
-            yield pd.concat([pdf[list(by)].reset_index(drop=True), counts], axis=1)
+            groups = zip(*(pdf[c] for c in by)) if by else [()] * len(out)
+            yield frame([(*g, *o) for g, o in zip(groups, out)], [*by, "insertions", "deletions", "substitutions", "correct"])
 
     kinds = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in by)
     each = pairs.select(*by, "text", "predicted").mapInPandas(run, kinds + ", insertions bigint, deletions bigint, substitutions bigint, correct bigint")
@@ -178,7 +180,7 @@ def align_items(left: DataFrame, right: DataFrame, *, page: str = "page_id") ->
 
     def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         items = lambda d: [(r.id, None if pd.isna(r.x0) else (r.x0, r.y0, r.x1, r.y1), r.text or "") for r in d.sort_values("id").itertuples()]
-        return pd.DataFrame([(key[0], *m) for m in greedy_matches(items(a), items(b))], columns=["page_id", "left_id", "right_id", "iou", "similarity"])
+        return frame([(key[0], *m) for m in greedy_matches(items(a), items(b))], ["page_id", "left_id", "right_id", "iou", "similarity"])
 
     cols = [page, "id", "x0", "y0", "x1", "y1", "text"]
     return left.select(*cols).groupBy(page).cogroup(right.select(*cols).groupBy(page)).applyInPandas(run, "page_id string, left_id string, right_id string, iou bigint, similarity bigint")
@@ -195,7 +197,7 @@ def matching_coverage(pairs: DataFrame, key: str) -> DataFrame:
                 found = [m for m in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks() if m.size] if a != b else [None]
                 covered = len(x) if a == b else sum(m.size for m in found)
                 rows.append((k, covered * 1000 // len(x) if x else 1000, len(found)))
-            yield pd.DataFrame(rows, columns=[key, "coverage_milli", "blocks"])
+            yield frame(rows, [key, "coverage_milli", "blocks"])
 
     kind = pairs.schema[key].dataType.simpleString()
     return pairs.select(key, "text", "predicted").mapInPandas(run, f"`{key}` {kind}, coverage_milli bigint, blocks bigint")

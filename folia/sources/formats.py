@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folia.functions.frames import frame
+
 WORD_SCHEMA = "path string, page_id string, region_id string, line_id string, word_no int, x0 double, y0 double, x1 double, y1 double, text string, confidence double"
 
 
@@ -152,7 +154,7 @@ def read_words(spark: SparkSession, root: str, pattern: str, kind: str) -> DataF
         names = [x.split()[0] for x in WORD_SCHEMA.split(", ")]
         for pdf in batches:
             rows = [(path, *r) for path, data in zip(pdf["path"], pdf["content"]) for r in parse(bytes(data))]
-            yield pd.DataFrame(rows, columns=names)
+            yield frame(rows, names)
 
     return files(spark, root, pattern).mapInPandas(run, WORD_SCHEMA)
 

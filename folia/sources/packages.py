@@ -10,6 +10,8 @@ from xml.sax.saxutils import quoteattr
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folia.functions.frames import frame
+
 #: Time stamp of every package entry (fixed value).
 ENTRY_TIME = (1980, 1, 1, 0, 0, 0)
 
@@ -56,7 +58,7 @@ def write_packages(entries: DataFrame, folder: str) -> DataFrame:
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         data = pack({n: bytes(c) for n, c in zip(pdf["name"], pdf["content"])})
-        return pd.DataFrame([(key[0], data, hashlib.sha256(data).hexdigest())], columns=["package_id", "data", "sha256"])
+        return frame([(key[0], data, hashlib.sha256(data).hexdigest())], ["package_id", "data", "sha256"])
 
     packed = entries.groupBy("package_id").applyInPandas(run, "package_id string, data binary, sha256 string")
     packed.write.mode("errorifexists").parquet(folder)

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folia.functions.frames import frame
 from folia.llm.lookalike import skeleton
 from folia.plans.broadcasts import small_side
 
@@ -102,7 +103,7 @@ def item_table(items: DataFrame, *, item_id: str, item_text: str) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"item_id": pdf[item_id], "words": [words(t) if t else [] for t in pdf[item_text]]})
+            yield frame([(k, words(t) if t else []) for k, t in zip(pdf[item_id], pdf[item_text])], ["item_id", "words"])
 
     kind = items.schema[item_id].dataType.simpleString()
     return items.select(item_id, item_text).mapInPandas(cut, f"item_id {kind}, words array<string>").where("size(words) > 0")
@@ -117,7 +118,7 @@ def _prints(texts: DataFrame, key: str, col: str, kind: str, k: int, w: int, *,
                 g = grams(tokens, k)
                 at = winnow(g, w)
                 rows.append((name, g[at].view(np.int64), at.astype(np.int32)))
-            yield pd.DataFrame(rows, columns=[key, "hash", "pos"])
+            yield frame(rows, [key, "hash", "pos"])
 
     out = texts.select(key, col).mapInPandas(run, f"`{key}` {kind}, hash array<bigint>, pos array<int>")
     return out.selectExpr(f"`{key}`", "inline(arrays_zip(hash, pos))")
@@ -152,7 +153,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc_text
                     best = max((longest_stretch(item, doc, int(s)) for s in f["shifts"]), default=(0, 0))
                     if best[0] >= HELD * len(item):
                         out.append((name, f["item_id"], *best))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "n_words", "n_changed"])
+            yield frame(out, ["doc_id", "item_id", "n_words", "n_changed"])
 
     spans = rows.mapInPandas(extend, f"doc_id {doc_kind}, item_id {item_kind}, n_words int, n_changed int")
     return spans.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.min("n_changed").alias("n_changed"))

@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folia.functions.frames import frame
 from folia.plans.samples import bounded_sample
 
 #: Texts of the sample that the bigrams are counted on, at most.
@@ -202,7 +203,7 @@ def normalized(df: DataFrame, *, id_col: str, text_cols: list[str], sample_texts
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spell = Speller(pairs.value)
         for pdf in batches:
-            yield pd.DataFrame({id_col: pdf[id_col], **{c: [spell.form(t) if t is not None else None for t in pdf[c]] for c in text_cols}})
+            yield frame(zip(pdf[id_col], *([spell.form(t) if t is not None else None for t in pdf[c]] for c in text_cols)), [id_col, *text_cols])
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, *text_cols).mapInPandas(run, ", ".join([f"`{id_col}` {kind}", *(f"`{c}` string" for c in text_cols)]))
@@ -221,7 +222,7 @@ def same_look(df: DataFrame, *, id_col: str = "id", left: str = "source_text", r
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spell = Speller(pairs.value)
         for pdf in batches:
-            yield pd.DataFrame({id_col: [k for k, a, b in zip(pdf[id_col], pdf[left], pdf[right]) if spell.form(a) == spell.form(b)]})
+            yield frame([(k,) for k, a, b in zip(pdf[id_col], pdf[left], pdf[right]) if spell.form(a) == spell.form(b)], [id_col])
 
     kind = df.schema[id_col].dataType.simpleString()
     return rows.mapInPandas(run, f"`{id_col}` {kind}").distinct()

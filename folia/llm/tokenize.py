@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folia.functions.frames import frame
+
 #: Texts up to this many characters are encoded in one piece.
 LEAF_CHARS = 16_384
 #: Texts above this many characters are spread over tasks.
@@ -150,19 +152,19 @@ def encode_texts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path, pattern)
         for pdf in batches:
-            yield pd.DataFrame({id_col: pdf[id_col], "ids": [enc.encode(t) if t else [] for t in pdf[text_col]]})
+            yield frame([(k, enc.encode(t) if t else []) for k, t in zip(pdf[id_col], pdf[text_col])], [id_col, "ids"])
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path, pattern)
         for pdf in batches:
-            yield pdf.assign(ids=[enc.encode(t) for t in pdf["part"]])[["_row", id_col, "no", "part", "ids"]]
+            yield frame([(r, k, n, t, enc.encode(t)) for r, k, n, t in zip(pdf["_row"], pdf[id_col], pdf["no"], pdf["part"])], ["_row", id_col, "no", "part", "ids"])
 
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
         enc = encoder(path, pattern)
         parts = [(t, list(i)) for t, i in zip(*(pdf.sort_values("no")[c] for c in ("part", "ids")))]
         while len(parts) > 1:
             parts = [(a[0] + b[0], enc.join(*a, *b)) if b else a for a, b in zip(parts[::2], [*parts[1::2], None])]
-        return pd.DataFrame({id_col: [pdf[id_col].iloc[0]], "ids": [parts[0][1]]})
+        return frame([(pdf[id_col].iloc[0], parts[0][1])], [id_col, "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(id_col, text_col)

@@ -123,8 +123,11 @@ def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id
     state, _ = cuts.write(first)
     resolved, active = state.where("ptr is null"), state.where("ptr is not null")
     before = active.count()
+    # Only nodes that something points at are looked up, and the nodes pointed at in a round are among those of
+    # the round before: both sides of the join shrink as the pointers double.
+    lookup, lookup_path = cuts.write(state.join(active.select(F.col("ptr").alias("id")).distinct(), "id", "left_semi")) if before else (state, None)
     while before:
-        target = resolved.unionByName(active).select(F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("seg").alias("seg2"), F.col("stop_id").alias("stop2"))
+        target = lookup.select(F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("seg").alias("seg2"), F.col("stop_id").alias("stop2"))
         moved = active.select("id", "ptr", "seg").join(target, "ptr").select("id", F.col("ptr2").alias("ptr"), F.concat("seg2", "seg").alias("seg"), F.col("stop2").alias("stop_id"))
         moved, _ = cuts.write(moved)
         resolved, active = resolved.unionByName(moved.where("ptr is null")), moved.where("ptr is not null")
@@ -132,6 +135,11 @@ def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id
         if now == before:
             break
         before = now
+        if now:
+            pointed = active.select(F.col("ptr").alias("id")).distinct()
+            new, new_path = cuts.write(lookup.where("ptr is null").unionByName(moved).join(pointed, "id", "left_semi"))
+            cuts.release(lookup_path)
+            lookup, lookup_path = new, new_path
     if before:
         ring = nodes.join(active.select("id"), "id", "left_semi")
         circle = _circles(cuts, ring).select("id", F.lit(None).cast("string").alias("root_id"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("array<string>").alias("path"), "stop_id", F.lit("circle").alias("status"))

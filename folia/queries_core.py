@@ -13,8 +13,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every node with root, depth, path and the number of its descendants."""
-    return hierarchy.descendant_counts(hierarchy.hierarchy(table(spark, sf_dir, "region_proposals")))
+    """Every node with root, depth and path, or with the place where its chain of parents stops."""
+    return hierarchy.hierarchy(table(spark, sf_dir, "region_proposals"))
+
+
+def p1_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a node and one of its descendants, with their distance."""
+    return hierarchy.descendants(p1_hierarchy(spark, sf_dir))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +34,5 @@ def p4_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.regions(table(spark, sf_dir, "raw_records"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_hierarchy, p4_found, p4_candidate_pages, p4_regions)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_hierarchy, p1_descendants, p4_found, p4_candidate_pages, p4_regions)}
 SQL: dict[str, str] = {}

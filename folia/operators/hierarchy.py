@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folia.plans.broadcasts import small_side
 from folia.plans.lineage import Cuts
 
 #: Blank characters trimmed from ids, as a Java character class.
@@ -136,7 +137,7 @@ def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id
             break
         before = now
         if now:
-            pointed = active.select(F.col("ptr").alias("id")).distinct()
+            pointed = small_side(active.select(F.col("ptr").alias("id")).distinct())
             new, new_path = cuts.write(lookup.where("ptr is null").unionByName(moved).join(pointed, "id", "left_semi"))
             cuts.release(lookup_path)
             lookup, lookup_path = new, new_path

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -266,25 +267,58 @@ def clean(text: str, host: str | None, wrappers: Wrappers) -> str:
     found = wrappers.parse(text, host)
     if not found:
         return text
+    return _tidy("".join(out for _, _, out, _ in _pieces(text, found)))
+
+
+def clean_span(text: str, pieces: list[tuple[int, int, str, bool]] | None, start: int, end: int) -> str:
+    """Clean text of ``text[start:end]``, from the pieces of the whole text (None: no markup in it).
+
+    What formatting leaves belongs to the place where the formatting starts; other text is cut at the borders.
+    """
+    if pieces is None:
+        return text[start:end]
     out: list[str] = []
+    touched = False
+    # The pieces cover the text in order; those before the span are skipped by bisection.
+    for a, b, plain, markup in pieces[max(0, bisect_right(pieces, start, key=lambda p: p[0]) - 1) :]:
+        if a >= end:
+            break
+        if b <= start:
+            continue
+        touched |= markup
+        out.append(text[max(a, start) : min(b, end)] if not markup else plain if a >= start else "")
+    return _tidy("".join(out)) if touched else text[start:end]
+
+
+def _tidy(text: str) -> str:
+    lines = [x.rstrip() for x in text.split("\n")]
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip("\n")
+
+
+def _pieces(text: str, found: list[Token]) -> list[tuple[int, int, str, bool]]:
+    """The text in order as (start, end, what is left of it, whether it is markup)."""
+    out: list[tuple[int, int, str, bool]] = []
     at = 0
     for t in found:
         if t.start < at:
             continue
-        out.append(text[at : t.start])
+        if at < t.start:
+            out.append((at, t.start, text[at : t.start], False))
         raw = text[t.start : t.end]
-        out.append(_plain(raw, t))
+        plain = _plain(raw, t)
         at = t.end
-        if t.kind == "directive" and not out[-1].startswith(("#", "-")):
+        if t.kind == "directive" and not plain.startswith(("#", "-")):
             at = max(at, text.find("\n", at) if "\n" in text[at:] else len(text))  # its arguments are no text
-        elif t.kind == "directive" or t.kind == "brace" and raw.startswith("{\\") or t.kind == "tex" and not raw.endswith("}") and not out[-1]:
+        elif t.kind == "directive" or t.kind == "brace" and raw.startswith("{\\") or t.kind == "tex" and not raw.endswith("}") and not plain:
             at += text[at : at + 1] == " "
         elif raw == "\x16(" and (end := text.find(")", at)) >= 0 and not any(at <= u.start < end for u in found):
-            out.append(text[at:end])
+            out += [(t.start, at, plain, True), (at, end, text[at:end], False), (end, end + 1, "", True)]
             at = end + 1
-    out.append(text[at:])
-    lines = [x.rstrip() for x in "".join(out).split("\n")]
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip("\n")
+            continue
+        out.append((t.start, at, plain, True))
+    if at < len(text):
+        out.append((at, len(text), text[at:], False))
+    return out
 
 
 def _plain(raw: str, t: Token) -> str:
@@ -385,9 +419,9 @@ def found(regions: DataFrame, selectors: DataFrame, sources: DataFrame) -> DataF
     return a.unionByName(b)
 
 
-def cleaned(regions: DataFrame) -> DataFrame:
+def cleaned(regions: DataFrame, wrappers: Wrappers | None = None) -> DataFrame:
     """(id, clean_text) of every row of the regions table."""
-    shared = _shared(regions, fitted(regions))
+    shared = _shared(regions, wrappers or fitted(regions))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Wrappers(*shared.value)
@@ -395,3 +429,42 @@ def cleaned(regions: DataFrame) -> DataFrame:
             yield frame([(k, clean(t, host, own) if t else t) for k, host, t in zip(pdf["id"], pdf["document_id"], pdf["source_text"])], ["id", "clean_text"])
 
     return regions.select("id", "document_id", "source_text").mapInPandas(run, "id string, clean_text string")
+
+
+def cleaned_selectors(selectors: DataFrame, sources: DataFrame, wrappers: Wrappers) -> DataFrame:
+    """(selector_id, clean_text) of every selector: the lines of its span without markup.
+
+    A file is parsed once and as a whole, so a span inside a block is read as part of it. A null or reversed
+    span, one that starts past the file, and a file that is unknown or null give a null text.
+    """
+    shared = _shared(sources, wrappers)
+    first, last = F.col("source_span")[0], F.col("source_span")[1]
+    valid = F.coalesce((F.size("source_span") >= 2) & (first <= last), F.lit(False))
+    spans = selectors.select("selector_id", "source_path", F.when(valid, F.greatest(first, F.lit(1))).alias("a"), F.when(valid, last).alias("b")).distinct()
+    # Each file goes to its spans once, however many there are.
+    each = spans.groupBy("source_path").agg(F.collect_list("selector_id").alias("ids"), F.collect_list(F.coalesce("a", F.lit(0))).alias("firsts"), F.collect_list(F.coalesce("b", F.lit(0))).alias("lasts"))
+    files = sources.select("source_path", "document_id", "text")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = Wrappers(*shared.value)
+        for pdf in batches:
+            for host, text, ids, firsts, lasts in zip(pdf["document_id"], pdf["text"], pdf["ids"], pdf["firsts"], pdf["lasts"]):
+                starts = [0, *(m.end() for m in re.finditer("\n", text))] if text is not None else []
+                tokens = own.parse(text, host) if text else []
+                pieces = _pieces(text, tokens) if tokens else None
+                rows = []
+                for key, a, b in zip(ids, firsts, lasts):
+                    there = 1 <= a <= b and a <= len(starts)
+                    end = (starts[b] - 1 if b < len(starts) else len(text)) if there else 0
+                    rows.append((key, clean_span(text, pieces, starts[a - 1], end) if there else None))
+                yield frame(rows, ["selector_id", "clean_text"])
+
+    return each.join(files, "source_path", "left").select("document_id", "text", "ids", "firsts", "lasts").mapInPandas(run, "selector_id string, clean_text string")
+
+
+def cleaned_all(regions: DataFrame, selectors: DataFrame, sources: DataFrame) -> DataFrame:
+    """(origin, case_key, clean_text) of every row of the regions table and of every selector."""
+    wrappers = fitted(regions)
+    a = cleaned(regions, wrappers).select(F.lit("region").alias("origin"), F.col("id").alias("case_key"), "clean_text")
+    b = cleaned_selectors(selectors, sources, wrappers).select(F.lit("selector").alias("origin"), F.col("selector_id").alias("case_key"), "clean_text")
+    return a.unionByName(b)

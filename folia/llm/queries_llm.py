@@ -13,7 +13,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.cleaned(table(spark, sf_dir, "project_regions"))
+    return markup.cleaned_all(table(spark, sf_dir, "project_regions"), table(spark, sf_dir, "source_selectors"), table(spark, sf_dir, "sources"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

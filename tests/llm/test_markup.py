@@ -50,3 +50,19 @@ def test_rows(spark):
     assert M.found(regions.where("false"), selectors.where("false"), sources.where("false")).collect() == []
     c = {r.id: r.clean_text for r in M.cleaned(regions.where("id in ('n', 'c0')")).collect()}
     assert c == {"n": None, "c0": CLEAN[0]}
+
+
+def test_spans_are_cleaned(spark):
+    regions = spark.createDataFrame([(f"f{k}", h, s, None, t) for k, (h, s, t) in enumerate(pairs())] + [("n", "host", None, None, None)], "id string, document_id string, source_text string, ocr_text string, canonical_text string")
+    text = ".section Head\nplain\n\\begin{verbatim}\n(a &optional b)\n\\end{verbatim}\nsee <!-- one\ntwo --> x &amp; y\nlast <b>x</b>"
+    sources = spark.createDataFrame([("p", "host", text), ("q", "host", None), ("r", "host", "no mark\n")], "source_path string, document_id string, text string")
+    want = {
+        "s1": ([1, 2], "p", "# Head\nplain"), "s2": ([3, 5], "p", "```\n(a &optional b)\n```"), "s3": ([4, 4], "p", "(a &optional b)"), "s4": ([8, 99], "p", "last x"), "s5": (None, "p", None), "s6": ([5, 2], "p", None),
+        "s7": ([1, 2], "q", None), "s8": ([1, 1], "gone", None), "s9": ([7, 7], "p", " x & y"), "s10": ([6, 6], "p", "see"), "s11": ([50, 60], "p", None), "s12": ([1, 1], "r", "no mark"), "s13": ([2, 2], "r", ""), "s14": ([], "p", None), "s15": ([1, 1], None, None),
+    }
+    rows = [(k, p, s) for k, (s, p, _) in want.items()]
+    selectors = spark.createDataFrame(rows + rows[:4], "selector_id string, source_path string, source_span array<int>")
+    got = M.cleaned_all(regions, selectors, sources).collect()
+    assert sorted((r.case_key, r.clean_text) for r in got if r.origin == "selector") == sorted(((k, t) for k, (_, _, t) in want.items()), key=lambda x: x[0])
+    assert sum(r.origin == "region" for r in got) == regions.count()
+    assert M.cleaned_all(regions.where("false"), selectors.where("false"), sources.where("false")).collect() == []

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folia.functions import text as T
+
 # Patterns whose results must equal the engine that is reproduced; word borders are spelled out.
 BORDER, END = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
 HIERARCHY = r"^\s*([Pp][Aa][Rr][Tt]|[Cc][Hh][Aa][Pp][Tt][Ee][Rr]|[Ss][Ee][Cc][Tt][Ii][Oo][Nn])\s+[A-Za-z0-9.]+" + END
@@ -49,6 +51,42 @@ def semantic_kind(text: Column, physical: Column) -> Column:
     return out
 
 
+# The same rules over whole texts, in the classes and line ends of the reference: only \\n ends a line.
+_S, _NOT_S, _W = T.SPACE, r"[^\s\x1c-\x1f\x85\p{Z}]", r"[\p{L}\p{N}_]"
+_BEFORE, _AFTER = f"(?<!{_W})", f"(?!{_W})"
+WHOLE = {
+    "hierarchy": rf"(?iud)^{_S}*(part|chapter|section){_S}+[A-Za-z0-9.]*(?:[A-Za-z0-9]{_AFTER}|\.(?={_W}))",
+    "caption": rf"(?iud)^{_S}*(?:fig(?:ure)?|table){_S}+\p{{Nd}}+",
+    "figure": rf"(?iud)^{_S}*figure (?s:.*){_NOT_S}",
+    "list": rf"(?d)^{_S}*(?:[-*•]|\p{{Nd}}+[.)]|[A-Za-z][.)]){_S}+",
+    "note": rf"(?iud)^{_S}*(?:note|\p{{Nd}}+[.)]){_S}",
+    "terminal": rf"(?d)^{_S}*(?:[$>#]|[A-Za-z0-9_.-]+>){_S}",
+    "index": rf"(?d)^.+,{_S}*\p{{Nd}}++(?:{_S}*,{_S}*\p{{Nd}}++)*+{_S}*$",
+    "cross-reference": rf"(?iud){_BEFORE}(?:see|chapter|section|appendix|figure|table){_S}+[A-Za-z0-9.]",
+    "math": rf"(?d)[=≈≠≤≥±×÷]|{_BEFORE}(?:sin|cos|log|lim){_AFTER}|\$[^$]+\$",
+}
+
+
+def whole_kind(text: Column, physical: Column) -> Column:
+    """Kind of a region by the ordered rules of :func:`semantic_kind` over its whole text, however many lines."""
+    rules = [
+        (text.rlike(WHOLE["hierarchy"]), F.lower(F.regexp_extract(text, WHOLE["hierarchy"], 1))),
+        (text.rlike(WHOLE["caption"]), F.lit("caption")),
+        ((physical == "figure") | text.rlike(WHOLE["figure"]), F.lit("figure")),
+        ((physical == "table") | text.contains("\t") | (F.length(text) - F.length(F.replace(text, F.lit("|"), F.lit(""))) >= 2), F.lit("table")),
+        (text.rlike(WHOLE["list"]), F.lit("list-item")),
+        (text.rlike(WHOLE["note"]), F.lit("note")),
+        (text.rlike(WHOLE["terminal"]), F.lit("terminal")),
+        ((physical == "code") | text.startswith(" ") | (text.contains("(") & text.contains(")")), F.lit("code")),
+        *((text.rlike(WHOLE[k]), F.lit(k)) for k in ("index", "cross-reference", "math")),
+        (text.rlike(r"\p{IsUppercase}") & ~text.rlike(r"[\p{IsLowercase}\p{Lt}]") & (F.size(T.words(text)) <= 12), F.lit("section")),
+    ]
+    out = F.lit("paragraph")
+    for test, kind in reversed(rules):
+        out = F.when(F.coalesce(test, F.lit(False)), kind).otherwise(out)
+    return out
+
+
 def risk_codes(line: Column) -> Column:
     """Array of the review codes that a line raises."""
     rules = [

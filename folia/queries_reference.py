@@ -155,11 +155,33 @@ b AS (SELECT coalesce(t.kind, f.kind) AS kind, t.id IS NOT NULL AS it, f.id IS N
 SELECT kind, count(*) FILTER (WHERE it AND if_) AS tp, count(*) FILTER (WHERE NOT it) AS fp, count(*) FILTER (WHERE NOT if_) AS fn, 2.0::DOUBLE * count(*) FILTER (WHERE it AND if_) / (2 * count(*) FILTER (WHERE it AND if_) + count(*) FILTER (WHERE NOT it) + count(*) FILTER (WHERE NOT if_)) AS f1 FROM b GROUP BY kind""")
 def semantic_macro_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = _kinds(spark, sf_dir)
+    return _macro_f1(k)
+
+
+def _macro_f1(k: DataFrame) -> DataFrame:
     label = F.when(F.col("kind") == "body", "paragraph").when(F.col("kind") == "list", "list-item").otherwise(F.col("kind"))
     truth = k.where("kind is not null").select(F.col("id").alias("region_id"), label.alias("kind"))
     return E.macro_f1(truth, k.select(F.col("id").alias("region_id"), F.col("semantic_kind").alias("kind")))
 
 
+# The two queries above say what their SQL says, of first lines; these two take the whole text and have no SQL.
+
+
+def _whole_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _regions(spark, sf_dir).where("source_text is not null")
+    return r.select("id", "kind", lines.whole_kind(F.col("source_text"), F.coalesce("kind", F.lit("unknown"))).alias("semantic_kind"))
+
+
+@query()
+def region_kind_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_kinds(spark, sf_dir).select("id", "semantic_kind")
+
+
+@query()
+def semantic_macro_f1_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _macro_f1(_whole_kinds(spark, sf_dir))
+
+
 # --- lines of documents ------------------------------------------------------------------------------------
 
 _LINES = "ln AS (SELECT doc_id, manual_id, page_index, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line FROM (SELECT *, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))"

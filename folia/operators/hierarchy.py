@@ -78,7 +78,24 @@ def _circles(cuts: Cuts, rows: DataFrame) -> DataFrame:
         cuts.release(path)
         state, path = new, new_path
     on = state.select(F.col("id").alias("ptr"), F.col("low").alias("stop_id"))
-    return state.select("id", "ptr").join(on, "ptr").select("id", "stop_id")
+    # After the last round every pointer lies on its circle, and every member is pointed at.
+    members = state.select("ptr").distinct().select(F.col("ptr").alias("id"), F.lit(True).alias("member"))
+    return state.select("id", "ptr").join(on, "ptr").select("id", "stop_id").join(members, "id", "left").select("id", "stop_id", F.coalesce("member", F.lit(False)).alias("member"))
+
+
+def _ring_places(cuts: Cuts, members: DataFrame) -> DataFrame:
+    """(id, ring_pos) of the members(id, parent, stop_id) of circles: steps down from the smallest id of each.
+
+    The circle is cut above its smallest id, and the steps are summed as the pointers double.
+    """
+    state, path = cuts.write(members.select("id", F.when(F.col("id") != F.col("stop_id"), F.col("parent")).alias("ptr"), F.when(F.col("id") != F.col("stop_id"), 1).otherwise(0).alias("ring_pos")))
+    while state.where("ptr is not null").limit(1).count():
+        target = state.select(F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("ring_pos").alias("more"))
+        moved = state.where("ptr is not null").join(target, "ptr").select("id", F.col("ptr2").alias("ptr"), (F.col("ring_pos") + F.col("more")).alias("ring_pos"))
+        new, new_path = cuts.write(state.where("ptr is null").unionByName(moved))
+        cuts.release(path)
+        state, path = new, new_path
+    return state.select("id", "ring_pos")
 
 
 def unrooted(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id", revision_col: str | None = "revision") -> DataFrame:
@@ -100,27 +117,11 @@ def unrooted(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id"
     names = nodes.select("n", "id", "parent")
     lost = names.join(broken, "n").select("id", "stop_id")
     ring, _ = cuts.write(names.join(left, "n").select("id", "parent"))
-    return lost.unionByName(_circles(cuts, ring))
+    return lost.unionByName(_circles(cuts, ring).select("id", "stop_id"))
 
 
-def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id", revision_col: str | None = "revision") -> DataFrame:
-    """Per node: id, root_id, depth, path (root first, the node last), stop_id, status.
-
-    ``status`` is ``rooted``, ``missing-parent`` or ``circle``. Below a missing parent the path starts
-    with the missing id's child and depth counts from it; on and below circles path and depth are null.
-    Path segments are concatenated as the pointers double.
-    """
-    cuts = Cuts(df.sparkSession, "hierarchy")
-    nodes, _ = cuts.write(current_nodes(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col))
-    known = nodes.select(F.col("id").alias("parent"), F.lit(True).alias("known"))
-    first = nodes.where("parent is not null").join(known, "parent", "left").unionByName(nodes.where("parent is null").withColumn("known", F.lit(None).cast("boolean")))
-    # seg: the ids from just below ptr down to the node itself.
-    first = first.select(
-        "id",
-        F.when(F.col("known"), F.col("parent")).alias("ptr"),
-        F.array("id").alias("seg"),
-        F.when(F.col("known").isNull(), F.col("parent")).alias("stop_id"),
-    )
+def _paths(cuts: Cuts, first: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Resolved rows of first(id, ptr, seg, stop_id), with ``seg`` the whole path, and the rows left in circles."""
     state, _ = cuts.write(first)
     resolved, active = state.where("ptr is null"), state.where("ptr is not null")
     before = active.count()
@@ -141,11 +142,30 @@ def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id
             new, new_path = cuts.write(lookup.where("ptr is null").unionByName(moved).join(pointed, "id", "left_semi"))
             cuts.release(lookup_path)
             lookup, lookup_path = new, new_path
-    if before:
-        ring = nodes.join(active.select("id"), "id", "left_semi")
-        circle = _circles(cuts, ring).select("id", F.lit(None).cast("string").alias("root_id"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("array<string>").alias("path"), "stop_id", F.lit("circle").alias("status"))
-    else:
-        circle = None
+    return resolved, active
+
+
+def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id", revision_col: str | None = "revision") -> DataFrame:
+    """Per node: id, root_id, depth, path (root first, the node last), stop_id, status, ring_pos.
+
+    ``status`` is ``rooted``, ``missing-parent`` or ``circle``. Below a missing parent the path starts
+    with the missing id's child and depth counts from it. Circles are cut at their members: the path of a
+    member is the member alone, that of a node below starts at its entry to the circle, and depth counts
+    from there. ``ring_pos`` is a member's steps down from the smallest id of its circle, else null.
+    Path segments are concatenated as the pointers double.
+    """
+    cuts = Cuts(df.sparkSession, "hierarchy")
+    nodes, _ = cuts.write(current_nodes(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col))
+    known = nodes.select(F.col("id").alias("parent"), F.lit(True).alias("known"))
+    first = nodes.where("parent is not null").join(known, "parent", "left").unionByName(nodes.where("parent is null").withColumn("known", F.lit(None).cast("boolean")))
+    # seg: the ids from just below ptr down to the node itself.
+    first = first.select(
+        "id",
+        F.when(F.col("known"), F.col("parent")).alias("ptr"),
+        F.array("id").alias("seg"),
+        F.when(F.col("known").isNull(), F.col("parent")).alias("stop_id"),
+    )
+    resolved, active = _paths(cuts, first)
     out = resolved.select(
         "id",
         F.when(F.col("stop_id").isNull(), F.col("seg")[0]).alias("root_id"),
@@ -153,18 +173,44 @@ def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id
         F.col("seg").alias("path"),
         "stop_id",
         F.when(F.col("stop_id").isNull(), "rooted").otherwise("missing-parent").alias("status"),
+        F.lit(None).cast("int").alias("ring_pos"),
     )
-    return out.unionByName(circle) if circle is not None else out
+    if not active.limit(1).count():
+        return out
+    ring, _ = cuts.write(nodes.join(active.select("id"), "id", "left_semi"))
+    ring, _ = cuts.write(ring.join(_circles(cuts, ring), "id"))
+    below, _ = _paths(cuts, ring.select("id", F.when(~F.col("member"), F.col("parent")).alias("ptr"), F.array("id").alias("seg"), F.lit(None).cast("string").alias("stop_id")))
+    circle = below.select("id", "seg").join(ring.select("id", "stop_id"), "id").join(_ring_places(cuts, ring.where("member")), "id", "left")
+    circle = circle.select("id", F.lit(None).cast("string").alias("root_id"), (F.size("seg") - 1).alias("depth"), F.col("seg").alias("path"), "stop_id", F.lit("circle").alias("status"), "ring_pos")
+    return out.unionByName(circle)
 
 
 def descendants(paths: DataFrame) -> DataFrame:
-    """(ancestor_id, descendant_id, distance) of every pair on one path of :func:`hierarchy`'s result."""
-    each = paths.where("path is not null").select(F.col("id").alias("descendant_id"), "depth", F.posexplode("path").alias("pos", "ancestor_id"))
-    return each.where("pos < depth").select("ancestor_id", "descendant_id", (F.col("depth") - F.col("pos")).alias("distance"))
+    """(ancestor_id, descendant_id, distance) of every node and each node below it in :func:`hierarchy`'s result.
+
+    Each member of a circle has all other members and all nodes below the circle as descendants, at the
+    number of steps down to them; no node is its own descendant.
+    """
+    each = paths.select(F.col("id").alias("descendant_id"), "depth", F.posexplode("path").alias("pos", "ancestor_id"))
+    on_paths = each.where("pos < depth").select("ancestor_id", "descendant_id", (F.col("depth") - F.col("pos")).alias("distance"))
+    # Paths on and below a circle start at a member; the other members come before it.
+    members = paths.where("ring_pos is not null").select("id", "stop_id", "ring_pos")
+    size = members.groupBy("stop_id").agg(F.count(F.lit(1)).cast("int").alias("size"))
+    entry = members.join(size, "stop_id").select(F.col("id").alias("entry"), F.col("ring_pos").alias("entry_pos"), "size", "stop_id")
+    other = members.select(F.col("id").alias("ancestor_id"), "ring_pos", "stop_id")
+    # All members above each member, with the steps down to it.
+    above = entry.join(other, "stop_id").where("entry_pos != ring_pos").select("entry", "ancestor_id", F.pmod(F.col("entry_pos") - F.col("ring_pos"), F.col("size")).alias("steps"))
+    under = paths.where("status = 'circle'").select(F.col("id").alias("descendant_id"), "depth", F.col("path")[0].alias("entry"))
+    round_circles = under.join(above, "entry").select("ancestor_id", "descendant_id", (F.col("depth") + F.col("steps")).alias("distance"))
+    return on_paths.unionByName(round_circles)
 
 
 def descendant_counts(paths: DataFrame) -> DataFrame:
     """Every node of :func:`hierarchy`'s result with n_descendants (0 for leaves)."""
     each = paths.where("path is not null").select(F.explode(F.slice("path", F.lit(1), F.col("depth"))).alias("id"))
     counts = each.groupBy("id").agg(F.count(F.lit(1)).alias("n_descendants"))
-    return paths.join(counts, "id", "left").withColumn("n_descendants", F.coalesce("n_descendants", F.lit(0).cast("long")))
+    # A member of a circle has every other row of the circle and of what hangs below it as descendant.
+    whole = paths.where("status = 'circle'").groupBy("stop_id").agg((F.count(F.lit(1)) - 1).alias("rest"))
+    members = paths.where("ring_pos is not null").select("id", "stop_id").join(whole, "stop_id").select("id", "rest")
+    n = F.coalesce("rest", "n_descendants", F.lit(0).cast("long"))
+    return paths.join(counts, "id", "left").join(members, "id", "left").withColumn("n_descendants", n).drop("rest")

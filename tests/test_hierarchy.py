@@ -74,6 +74,36 @@ def test_random_forests(spark):
     check(spark, rows)
 
 
+def test_circles_and_what_hangs_below(spark):
+    rnd = random.Random(9)
+    parent = {f"c{k}": f"c{(k + 1) % 5}" for k in range(5)} | {"self": "self", "x": "y", "y": "x", "top": None, "mid": "top", "lost": "gone", "under": "lost"}
+    for k in range(40):
+        parent[f"n{k:02d}"] = rnd.choice(["c0", "c3", "x", "self", "mid", "under", *(f"n{j:02d}" for j in range(k))])
+    rows = [(i, p, 1, None, None) for i, p in parent.items()]
+    rnd.shuffle(rows)
+    h = hierarchy.hierarchy(spark.createDataFrame(rows, SCHEMA))
+    want, paths = set(), {}
+    circles = [{"c0", "c1", "c2", "c3", "c4"}, {"self"}, {"x", "y"}]
+    on = set().union(*circles)
+    for i in parent:
+        p, steps, seen = parent[i], 1, {i}
+        while p in parent and p not in seen:
+            want.add((p, i, steps))
+            seen.add(p)
+            p, steps = parent[p], steps + 1
+        walk = [i]
+        while walk[0] not in on and parent[walk[0]] in parent:
+            walk.insert(0, parent[walk[0]])
+        paths[i] = walk
+    got = [(r.ancestor_id, r.descendant_id, r.distance) for r in hierarchy.descendants(h).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    each = {r.id: r for r in h.collect()}
+    assert {i: list(r.path) for i, r in each.items()} == paths and all(r.depth == len(r.path) - 1 for r in each.values())
+    assert {i for i, r in each.items() if r.ring_pos is not None} == on
+    assert all((each[i].status, each[i].root_id, each[i].stop_id) == ("circle", None, min(c)) for c in circles for i in parent if paths[i][0] in c)
+    assert {r.id: r.n_descendants for r in hierarchy.descendant_counts(h).collect()} == {i: sum(a == i for a, _, _ in want) for i in parent}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert hierarchy.unrooted(df).collect() == []

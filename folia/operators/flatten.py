@@ -7,8 +7,8 @@ keys and places of all ancestors to every object, ``flatten`` makes one array of
 Untyped payloads are read as VARIANT. A list may be given as a list, as one lone object, or as a string
 that holds either as JSON; the whole record may be such a string too, or lie under the name of its type.
 
-Defined results: an unreadable, null or empty payload gives no rows; null entries of a list give no row
-but keep their place; a field that is absent or null gives no row in the ``found`` form; repeated
+Defined results: an unreadable, null or empty payload gives no rows; null entries of a list keep
+their place, as rows without fields; a field that is absent or null gives no row in the ``found`` form; repeated
 records give their rows under each record id; an empty table gives an empty result.
 """
 
@@ -97,6 +97,23 @@ def typed_evidence(manuals: DataFrame) -> DataFrame:
     return manuals.selectExpr("record_id", "inline(array(struct(0 as parent_pos, 0 as pos, manual_id as manual_id, truth.evidence.kind as kind)))")
 
 
+def all_candidate_pages(manuals: DataFrame, raw: DataFrame) -> DataFrame:
+    """Candidate pages of both tables: table_name, record_id, parent_pos, pos, manual_id, page_index, page_class, tags, raw_page_index."""
+    typed = typed_candidate_pages(manuals).withColumns({"page_index": F.col("page_index").cast("bigint"), "raw_page_index": F.col("page_index").cast("string")})
+    return _named(typed, "candidate_manuals").unionByName(_named(candidate_pages(raw), "raw_records"))
+
+
+def all_evidence(manuals: DataFrame, raw: DataFrame) -> DataFrame:
+    """Evidence of both tables: table_name, record_id, parent_pos, pos, manual_id, kind, note (null in typed submissions)."""
+    typed = typed_evidence(manuals.where("truth.evidence is not null")).withColumn("note", F.lit(None).cast("string"))
+    return _named(typed, "candidate_manuals").unionByName(_named(evidence(raw), "raw_records"))
+
+
+def _named(rows: DataFrame, table: str) -> DataFrame:
+    """Rows with the name of their table before them."""
+    return rows.select(F.lit(table).alias("table_name"), *rows.columns)
+
+
 def found(manuals: DataFrame, raw: DataFrame) -> DataFrame:
     """One row per nested object with a non-null value in its field, over both tables."""
 

@@ -27,12 +27,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_candidate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.candidate_pages(table(spark, sf_dir, "raw_records"))
+    return flatten.all_candidate_pages(table(spark, sf_dir, "candidate_manuals"), table(spark, sf_dir, "raw_records"))
+
+
+def p4_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten.all_evidence(table(spark, sf_dir, "candidate_manuals"), table(spark, sf_dir, "raw_records"))
 
 
 def p4_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.regions(table(spark, sf_dir, "raw_records"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_hierarchy, p1_descendants, p4_found, p4_candidate_pages, p4_regions)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_hierarchy, p1_descendants, p4_found, p4_candidate_pages, p4_evidence, p4_regions)}
 SQL: dict[str, str] = {}

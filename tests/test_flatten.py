@@ -32,3 +32,18 @@ def test_dirty_payloads(spark):
 
 def test_empty(spark):
     assert rows(spark, []) == []
+
+
+def test_flat_tables_hold_both_sources(spark):
+    record = {"manuals": [None, {"manual_id": "j", "candidate_pages": [{"page_index": 5, "page_class": "c", "tags": ["t"]}], "truth": {"evidence": [{"kind": "a", "note": "n"}, {"kind": None}]}}]}
+    raw = spark.createDataFrame([(1, "inventory", json.dumps(record)), (2, "inventory", "{broken")], "record_id long, record_type string, payload string")
+    manuals = spark.createDataFrame([(9, "m", [None, (4, "c", ["x", None]), (None, "d", None)], (("e",),), 5), (10, None, None, None, None), (11, "m", [], ((None,),), None), (12, "m", None, (None,), None)], MANUALS)
+    pages = flatten.all_candidate_pages(manuals, raw)
+    assert sorted(((r.table_name, r.record_id, r.parent_pos, r.pos, r.manual_id, r.page_index, r.page_class, r.tags) for r in pages.collect()), key=str) == [
+        ("candidate_manuals", 9, 0, 0, "m", None, None, None), ("candidate_manuals", 9, 0, 1, "m", 4, "c", ["x", None]), ("candidate_manuals", 9, 0, 2, "m", None, "d", None), ("raw_records", 1, 1, 0, "j", 5, "c", ["t"]),
+    ]
+    found = flatten.all_evidence(manuals, raw)
+    assert sorted(((r.table_name, r.record_id, r.parent_pos, r.pos, r.manual_id, r.kind, r.note) for r in found.collect()), key=str) == [
+        ("candidate_manuals", 11, 0, 0, "m", None, None), ("candidate_manuals", 9, 0, 0, "m", "e", None), ("raw_records", 1, 1, 0, "j", "a", "n"), ("raw_records", 1, 1, 1, "j", None, None),
+    ]
+    assert flatten.all_evidence(manuals.where("false"), raw.where("false")).count() == 0

@@ -51,12 +51,17 @@ def _predictions(regions: DataFrame) -> DataFrame:
     return each.select("region_id", "e.engine", T.ascii_only(F.col("e.t")).alias("text"))
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Truth with each engine's text, from one scan: both witnesses lie in the region's own row."""
+def _pairs(spark: SparkSession, sf_dir: str, *, masked: bool = True) -> DataFrame:
+    """Truth with each engine's text, from one scan: both witnesses lie in the region's own row.
+
+    The SQL's edit distance counts bytes, so queries with SQL compare ``masked`` texts; the real texts are
+    compared by the ``_unmasked`` queries.
+    """
+    plain = T.ascii_only if masked else (lambda c: c)
     regions = _regions(spark, sf_dir)
     engines = F.array(F.struct(F.lit("ocr").alias("engine"), F.col("ocr_text").alias("t")), F.struct(F.lit("source").alias("engine"), F.col("source_text").alias("t")))
-    each = regions.where("canonical_text is not null").select(F.col("id").alias("region_id"), "kind", "document_id", T.ascii_only(F.col("canonical_text")).alias("text"), F.explode(engines).alias("e"))
-    return each.select("region_id", "kind", "document_id", "text", "e.engine", T.ascii_only(F.coalesce("e.t", F.lit(""))).alias("predicted"))
+    each = regions.where("canonical_text is not null").select(F.col("id").alias("region_id"), "kind", "document_id", plain(F.col("canonical_text")).alias("text"), F.explode(engines).alias("e"))
+    return each.select("region_id", "kind", "document_id", "text", "e.engine", plain(F.coalesce("e.t", F.lit(""))).alias("predicted"))
 
 
 _PAIRS = (
@@ -109,8 +114,12 @@ def code_token_exactness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_REG}, p AS (SELECT id, regexp_replace(source_text, '[^\\x00-\\x7F]', '?', 'g') AS a, regexp_replace(ocr_text, '[^\\x00-\\x7F]', '?', 'g') AS b FROM reg WHERE source_text IS NOT NULL AND ocr_text IS NOT NULL)
 SELECT id, CASE WHEN greatest(length(a), length(b)) = 0 THEN 1000 ELSE (greatest(length(a), length(b)) - levenshtein(a, b)) * 1000 // greatest(length(a), length(b)) END::BIGINT AS similarity FROM p""")
 def text_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _regions(spark, sf_dir).where("source_text is not null and ocr_text is not null")
-    r = r.select("id", T.ascii_only(F.col("source_text")).alias("a"), T.ascii_only(F.col("ocr_text")).alias("b"))
+    return _similarity(_regions(spark, sf_dir), T.ascii_only)
+
+
+def _similarity(regions: DataFrame, plain) -> DataFrame:
+    r = regions.where("source_text is not null and ocr_text is not null")
+    r = r.select("id", plain(F.col("source_text")).alias("a"), plain(F.col("ocr_text")).alias("b"))
     return r.select("id", T.similarity_milli(F.col("a"), F.col("b")).alias("similarity"))
 
 
@@ -409,7 +418,11 @@ def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_PAIRS}, s AS (SELECT engine, kind, sum(levenshtein(text, predicted))::DOUBLE AS e, sum(length(text))::DOUBLE AS n FROM pairs GROUP BY engine, kind)
 SELECT engine, kind, e::BIGINT AS errors, n::BIGINT AS units, round(CASE WHEN n > 0 THEN least((e / n + 3.8414588206941227 / (2 * n) + 1.959963984540054 * sqrt(e / n * (1 - e / n) / n + 3.8414588206941227 / (4 * n * n))) / (1 + 3.8414588206941227 / n), 1.0) ELSE 1.0 END, 9) AS upper FROM s WHERE e <= n""")
 def wilson_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = E.character_errors(_pairs(spark, sf_dir), "engine", "kind").where("errors <= reference_units")
+    return _wilson(_pairs(spark, sf_dir))
+
+
+def _wilson(pairs: DataFrame) -> DataFrame:
+    c = E.character_errors(pairs, "engine", "kind").where("errors <= reference_units")
     n = F.col("reference_units").cast("double")
     return c.select("engine", "kind", "errors", F.col("reference_units").alias("units"), F.round(selection.wilson_upper(F.col("errors").cast("double"), n), 9).alias("upper"))
 
@@ -420,13 +433,55 @@ def wilson_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_PAIRS}, s AS (SELECT engine, sum(levenshtein(text, predicted))::BIGINT AS d, sum(length(predicted) - length(text))::BIGINT AS g, sum(length(text))::BIGINT AS n FROM pairs GROUP BY engine) SELECT engine, d AS distance, g AS growth, n AS reference_units FROM s")
 def edit_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sums that the edit script must keep: I + D + S, I - D, and D + S + correct."""
-    b = alignment.edit_breakdown(_pairs(spark, sf_dir), "engine")
+    return _script_sums(_pairs(spark, sf_dir))
+
+
+def _script_sums(pairs: DataFrame) -> DataFrame:
+    b = alignment.edit_breakdown(pairs, "engine")
     return b.select("engine", F.expr("insertions + deletions + substitutions").alias("distance"), F.expr("insertions - deletions").alias("growth"), F.expr("deletions + substitutions + correct").alias("reference_units"))
 
 
 @query()
 def wer_by_engine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignment.edit_breakdown(_pairs(spark, sf_dir), "engine", "kind", words=True)
+    return alignment.edit_breakdown(_pairs(spark, sf_dir, masked=False), "engine", "kind", words=True)
+
+
+# The queries over masked texts again, over the texts as they are; without SQL, whose edit distance counts bytes.
+
+
+@query()
+def cer_by_engine_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.character_errors(_pairs(spark, sf_dir, masked=False), "engine")
+
+
+@query()
+def quality_cube_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.quality_cube(_pairs(spark, sf_dir, masked=False))
+
+
+@query()
+def wilson_audit_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _wilson(_pairs(spark, sf_dir, masked=False))
+
+
+@query()
+def text_similarity_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _similarity(_regions(spark, sf_dir), lambda c: c)
+
+
+@query()
+def projection_match_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.projection_matches(_pairs(spark, sf_dir, masked=False))
+
+
+@query()
+def code_token_exactness_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.code_tokens(_pairs(spark, sf_dir, masked=False).where("kind = 'code'"), "engine")
+
+
+@query()
+def edit_breakdown_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _script_sums(_pairs(spark, sf_dir, masked=False))
 
 
 @query()

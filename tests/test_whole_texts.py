@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+from test_operators import plain_counts
+
 from folia import queries_reference as Q
 
 HEAD = re.compile(r"^\s*(part|chapter|section)\s+([A-Za-z0-9.IVXLC]+)\b", re.I)
@@ -52,3 +54,30 @@ def test_kinds_of_whole_texts(spark, tmp_path):
     true = {i: names.get(k, k) for _, i, k, _ in rows if k}
     for k, (tp, fp, fn) in f1.items():
         assert tp == sum(true.get(i) == w == k for i, w in want.items()) and tp + fp == sum(w == k for w in want.values()) and tp + fn == sum(w == k for w in true.values())
+
+
+def test_signs_beyond_ascii_are_compared(spark, tmp_path):
+    truth = ["café", "αβγ δ", "“x”", "наука один", "日本語 text", "a\U0001f600b", "plain", "é", "ключ x"]
+    other = ["cafè", "абв δ", "—x—", "науна два", "日本话 text", "a\U0001f601b", "plain", "e", "ключ y"]
+    kinds = ["body", "code", "exact"]
+    rows = [("d", "p", f"r{k}", kinds[k % 3], t, o, s) for k, (t, o, s) in enumerate(zip(truth, other, [*other[1:], None]))]
+    df = spark.createDataFrame(rows, "document_id string, page_id string, id string, kind string, canonical_text string, ocr_text string, source_text string")
+    df.selectExpr("*", "timestamp'2020-01-01' as updated_at").write.parquet(str(tmp_path / "project_regions.parquet"))
+    run = lambda f: f(spark, str(tmp_path)).collect()
+    pairs = [(e, r[3], r[4], (r[i] or "")) for r in rows for e, i in (("ocr", 5), ("source", 6))]
+    errors = lambda a, b: sum(plain_counts(a, b)[:3])
+    want = {e: sum(errors(a, b) for g, _, a, b in pairs if g == e) for e in ("ocr", "source")}
+    assert {r.engine: r.errors for r in run(Q.cer_by_engine_unmasked)} == want
+    assert {r.engine: r.distance for r in run(Q.edit_breakdown_unmasked)} == want
+    assert {r.engine: r.errors for r in run(Q.quality_cube_unmasked) if r.kind is None and r.document_id is None} == want
+    by = {(e, k): sum(errors(a, b) for g, h, a, b in pairs if (g, h) == (e, k)) for e in want for k in kinds}
+    units = {(e, k): sum(len(a) for g, h, a, _ in pairs if (g, h) == (e, k)) for e in want for k in kinds}
+    assert {(r.engine, r.kind): (r.errors, r.units) for r in run(Q.wilson_audit_unmasked)} == {x: (n, units[x]) for x, n in by.items() if n <= units[x]}
+    both = {r[2]: (r[6], r[5]) for r in rows if r[6] is not None}
+    assert {r.id: r.similarity for r in run(Q.text_similarity_unmasked)} == {i: (max(len(a), len(b)) - errors(a, b)) * 1000 // max(len(a), len(b)) for i, (a, b) in both.items()}
+    assert sum(r.matching for r in run(Q.projection_match_unmasked)) == sum(a == b for _, _, a, b in pairs)
+    assert {r.engine: r.exact_tokens for r in run(Q.code_token_exactness_unmasked)} == {e: sum(x == y for g, k, a, b in pairs if (g, k) == (e, "code") for x, y in zip(a.split(), b.split())) for e in want}
+    words = {}
+    for e, k, a, b in pairs:
+        words[e, k] = words.get((e, k), 0) + errors(a.split(), b.split())
+    assert {(r.engine, r.kind): r.insertions + r.deletions + r.substitutions for r in run(Q.wer_by_engine)} == words

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from folia.functions.frames import frame
 
-#: Cells of one alignment table that are held at once; longer pairs are cut by Hirschberg's method.
-MAX_CELLS = 4_000_000
+#: Cells of one alignment table that are held at once; of longer pairs so many rows are saved at each level.
+MAX_CELLS, SAVED_ROWS = 4_000_000, 32
 
 
 def _codes(a: Sequence, b: Sequence) -> tuple[np.ndarray, np.ndarray]:
@@ -26,15 +26,15 @@ def _codes(a: Sequence, b: Sequence) -> tuple[np.ndarray, np.ndarray]:
     return code(a), code(b)
 
 
-def _rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The whole table of edit distances, row by row: insertions are a running minimum."""
+def _rows(a: np.ndarray, b: np.ndarray, first: np.ndarray, base: int) -> np.ndarray:
+    """The table of edit distances below its row ``first``, that of number ``base``: insertions are a running minimum."""
     n, m = len(a), len(b)
     table = np.empty((n + 1, m + 1), np.int32)
     column = np.arange(m + 1, dtype=np.int32)
-    table[0] = column
+    table[0] = first
     for i in range(1, n + 1):
         row = table[i]
-        row[0] = i
+        row[0] = base + i
         np.minimum(table[i - 1, :-1] + (b != a[i - 1]), table[i - 1, 1:] + 1, out=row[1:])
         row[:] = np.minimum.accumulate(row - column) + column
     return table
@@ -43,45 +43,53 @@ def _rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def edit_counts(reference: Sequence, actual: Sequence) -> tuple[int, int, int, int]:
     """(insertions, deletions, substitutions, correct) of the alignment that prefers diagonal steps, then deletions.
 
-    Equal beginnings are skipped: along them the preferred path is the diagonal. Tables beyond
-    ``MAX_CELLS`` are cut at the place of a cheapest path, which keeps the distance; the split between the
-    three kinds can then differ from the uncut table's.
+    The path is traced from the end. Equal endings are skipped: along them it is the diagonal. Tables beyond
+    ``MAX_CELLS`` are traced by blocks of rows between saved ones, so the counts do not depend on the length.
     """
     a, b = _codes(reference, actual)
     k = 0
-    while k < min(len(a), len(b)) and a[k] == b[k]:
+    while k < min(len(a), len(b)) and a[-1 - k] == b[-1 - k]:
         k += 1
-    ins, dele, sub, cor = _counts(a[k:], b[k:])
-    return ins, dele, sub, cor + k
+    a, b = a[: len(a) - k], b[: len(b) - k]
+    counts = [0, 0, 0, k]
+    _trace(a, b, np.arange(len(b) + 1, dtype=np.int32), 0, counts, True)
+    return tuple(counts)
 
 
-def _counts(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
-    n, m = len(a), len(b)
-    if not n or not m:
-        return m, n, 0, 0
-    if n * m > MAX_CELLS and n > 1:
-        mid = n // 2
-        left = _last_row(a[:mid], b)
-        right = _last_row(a[mid:][::-1], b[::-1])[::-1]
-        cut = int((left + right).argmin())
-        return tuple(x + y for x, y in zip(_counts(a[:mid], b[:cut]), _counts(a[mid:], b[cut:])))
-    t = _rows(a, b)
-    i, j, ins, dele, sub, cor = n, m, 0, 0, 0, 0
-    while i or j:
+def _trace(a: np.ndarray, b: np.ndarray, first: np.ndarray, base: int, counts: list[int], top: bool) -> int:
+    """Add the steps of the path from the end of ``a`` and ``b`` up to the row ``first``; returns its column there.
+
+    ``base`` is the number of the row ``first``; from the ``top`` row the path runs left to its start.
+    """
+    n, j = len(a), len(b)
+    if n > 1 and (n + 1) * (j + 1) > MAX_CELLS:
+        step = -(-n // SAVED_ROWS)
+        saved = [first]
+        for k in range(step, n, step):
+            saved.append(_last_row(a[k - step : k], b, saved[-1], base + k - step))
+        for k in reversed(range(len(saved))):
+            part = a[k * step : (k + 1) * step]
+            j = _trace(part, b[:j], saved.pop()[: j + 1], base + k * step, counts, top and not k)
+        return j
+    t = _rows(a, b, first, base)
+    i = n
+    while i or top and j:
         if i and j and t[i, j] == t[i - 1, j - 1] + (a[i - 1] != b[j - 1]):
-            cor, sub = (cor + 1, sub) if a[i - 1] == b[j - 1] else (cor, sub + 1)
+            counts[3 if a[i - 1] == b[j - 1] else 2] += 1
             i, j = i - 1, j - 1
         elif i and t[i, j] == t[i - 1, j] + 1:
-            dele, i = dele + 1, i - 1
+            counts[1] += 1
+            i -= 1
         else:
-            ins, j = ins + 1, j - 1
-    return ins, dele, sub, cor
+            counts[0] += 1
+            j -= 1
+    return j
 
 
-def _last_row(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _last_row(a: np.ndarray, b: np.ndarray, first: np.ndarray, base: int) -> np.ndarray:
     column = np.arange(len(b) + 1, dtype=np.int32)
-    row = column.copy()
-    for i, x in enumerate(a, 1):
+    row = first
+    for i, x in enumerate(a, base + 1):
         new = np.empty_like(row)
         new[0] = i
         np.minimum(row[:-1] + (b != x), row[1:] + 1, out=new[1:])

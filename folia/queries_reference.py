@@ -479,6 +479,12 @@ def code_token_exactness_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame
     return E.code_tokens(_pairs(spark, sf_dir, masked=False).where("kind = 'code'"), "engine")
 
 
+@query()
+def edit_script_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insertions, deletions, substitutions and correct characters in the preferred tie order."""
+    return alignment.edit_breakdown(_pairs(spark, sf_dir, masked=False), "engine")
+
+
 @query()
 def edit_breakdown_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _script_sums(_pairs(spark, sf_dir, masked=False))

@@ -6,6 +6,7 @@ import re
 from test_operators import plain_counts
 
 from folia import queries_reference as Q
+from folia.operators import alignment
 
 HEAD = re.compile(r"^\s*(part|chapter|section)\s+([A-Za-z0-9.IVXLC]+)\b", re.I)
 RULES = (
@@ -77,7 +78,18 @@ def test_signs_beyond_ascii_are_compared(spark, tmp_path):
     assert {r.id: r.similarity for r in run(Q.text_similarity_unmasked)} == {i: (max(len(a), len(b)) - errors(a, b)) * 1000 // max(len(a), len(b)) for i, (a, b) in both.items()}
     assert sum(r.matching for r in run(Q.projection_match_unmasked)) == sum(a == b for _, _, a, b in pairs)
     assert {r.engine: r.exact_tokens for r in run(Q.code_token_exactness_unmasked)} == {e: sum(x == y for g, k, a, b in pairs if (g, k) == (e, "code") for x, y in zip(a.split(), b.split())) for e in want}
+    script = {r.engine: (r.insertions, r.deletions, r.substitutions, r.correct) for r in run(Q.edit_script_counts)}
+    assert script == {e: tuple(map(sum, zip(*(plain_counts(a, b) for g, _, a, b in pairs if g == e)))) for e in want}
     words = {}
     for e, k, a, b in pairs:
         words[e, k] = words.get((e, k), 0) + errors(a.split(), b.split())
     assert {(r.engine, r.kind): r.insertions + r.deletions + r.substitutions for r in run(Q.wer_by_engine)} == words
+
+
+def test_edit_scripts_at_any_size(monkeypatch):
+    rnd = random.Random(3)
+    texts = [["".join(rnd.choice("ab") for _ in range(rnd.randrange(24))) for _ in range(2)] for _ in range(300)]
+    for cells, saved in ((4_000_000, 32), (40, 2), (20, 3), (1, 2)):
+        monkeypatch.setattr(alignment, "MAX_CELLS", cells)
+        monkeypatch.setattr(alignment, "SAVED_ROWS", saved)
+        assert [alignment.edit_counts(a, b) for a, b in texts] == [plain_counts(a, b) for a, b in texts]

@@ -5,9 +5,9 @@ distance covered; a forest of depth ``d`` resolves in about ``log2(d)`` rounds.
 no node proves that all nodes left point into a circle: of any node further from its end than the
 covered distance, some ancestor would have been resolved in that round.
 
-Nodes that reached a root leave the working table at once, so its size falls from round to round; one
-parent with a third of all children is no hot spot, because only the *pointing* side repeats a key and
-that side is streamed through the join against one row per key.
+Nodes that reached a root leave the working table at once, so its size falls from round to round. Where
+many rows point at one node, its row is broadcast: there are few such nodes by count, so one parent with a
+third of all children sends no third of the rows to one task.
 
 Defined results: ids and parents are compared trimmed and in lower case; a null or blank parent is a
 root; rows with a null or blank id are no nodes and are left out; of several rows with one id the one
@@ -18,12 +18,23 @@ the smallest id of the circle. An empty table gives an empty result. Extra colum
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folia.plans.broadcasts import small_side
 from folia.plans.lineage import Cuts
 
+#: Rows from which the targets of heavy keys are broadcast, and how many such keys there can be at most.
+HEAVY_ROWS, HEAVY_KEYS = 200_000, 500
+#: Places of one block of the walk that puts paths together.
+BLOCK_ROWS = 50_000
+#: Ids of paths that one Arrow batch holds before it is sent.
+BATCH_IDS = 2_000_000
+
 #: Blank characters trimmed from ids, as a Java character class.
 BLANKS = r"\s\u00a0\u2000-\u200b\u3000\ufeff"
 
@@ -51,7 +62,7 @@ def _rounds(cuts: Cuts, state: DataFrame, path: str) -> tuple[DataFrame, str]:
     while before:
         active = state.where("stop is null")
         target = state.select(F.col("n").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("stop").alias("stop2"))
-        moved = active.select("n", "ptr").join(target, "ptr").select("n", F.col("ptr2").alias("ptr"), F.col("stop2").alias("stop"))
+        moved = _follow(active.select("n", "ptr"), target, before).select("n", F.col("ptr2").alias("ptr"), F.col("stop2").alias("stop"))
         new, new_path = cuts.write(moved.unionByName(state.where("stop is not null")))
         cuts.release(path)
         state, path = new, new_path
@@ -120,69 +131,170 @@ def unrooted(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id"
     return lost.unionByName(_circles(cuts, ring).select("id", "stop_id"))
 
 
-def _paths(cuts: Cuts, first: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Resolved rows of first(id, ptr, seg, stop_id), with ``seg`` the whole path, and the rows left in circles."""
+def _follow(pointing: DataFrame, target: DataFrame, total: int) -> DataFrame:
+    """pointing(ptr, ...) joined with target(ptr, ...), which has one row per key.
+
+    At most ``HEAVY_KEYS`` keys have more than that part of all rows; their targets are broadcast, so rows that
+    point at one node are not sent to one task.
+    """
+    if total < HEAVY_ROWS:
+        return pointing.join(target, "ptr")
+    heavy = F.broadcast(pointing.groupBy("ptr").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > total // HEAVY_KEYS).select("ptr"))
+    few = F.broadcast(target.join(heavy, "ptr", "left_semi"))
+    return pointing.join(few, "ptr").unionByName(pointing.join(heavy, "ptr", "left_anti").join(target, "ptr"))
+
+
+def _below(cuts: Cuts, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(n, below): the nodes below each node of links(n, ptr), leaves left out; and the (n) that hang in circles.
+
+    ``cnt`` counts a node and those below it within the distance that its pointer covers, so the rows of a round
+    add up at the nodes they point at. Rows leave when their pointer has no pointer itself.
+    """
+    active, path = cuts.write(links.where("ptr is not null").withColumn("cnt", F.lit(1).cast("bigint")))
+    before, sums = active.count(), []
+    while before:
+        add, _ = cuts.write(active.groupBy(F.col("ptr").alias("n")).agg(F.sum("cnt").alias("add")))
+        sums.append(add)
+        target = active.select(F.col("n").alias("ptr"), F.col("ptr").alias("ptr2"))
+        moved = _follow(active, target, before).join(add, "n", "left")
+        new, new_path = cuts.write(moved.select("n", F.col("ptr2").alias("ptr"), (F.col("cnt") + F.coalesce("add", F.lit(0))).alias("cnt")))
+        cuts.release(path)
+        active, path = new, new_path
+        now = active.count()
+        if now == before:
+            break
+        before = now
+    if not sums:
+        return links.select("n", F.lit(0).cast("bigint").alias("below")).limit(0), None
+    every = reduce(DataFrame.unionByName, sums).groupBy("n").agg(F.sum("add").alias("below"))
+    if not before:
+        return every, None
+    stuck = active.select("n")
+    return every.join(stuck, "n", "left_anti"), stuck
+
+
+def _steps(cuts: Cuts, rows: DataFrame, total: int) -> DataFrame:
+    """(n, up, step, depth) of rows(n, id, up, below): places from a parent's to a node's, in pre-order.
+
+    Siblings follow one another by the part of the hash space and then by id. Sums over the parts come before
+    sums inside one, so that the children of one parent are spread over the parts.
+    """
+    parts = max(64, total // 200_000)
+    each = rows.select("n", "id", "up", (F.col("below") + 1).alias("size"), F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"))
+    sums = each.groupBy("up", "part").agg(F.sum("size").alias("size"))
+    ahead = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("up", "part", ahead(Window.partitionBy("up").orderBy("part")).alias("base"))
+    inside = each.withColumn("ahead", ahead(Window.partitionBy("up", "part").orderBy("id")))
+    out = inside.join(sums, (inside["part"] == sums["part"]) & inside["up"].eqNullSafe(sums["up"])).select("n", inside["up"], (F.col("base") + F.col("ahead")).alias("step"))
+    return out.select("n", F.col("up").alias("ptr"), F.when(F.col("up").isNull(), F.col("step")).otherwise(F.col("step") + 1).alias("place"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth"))
+
+
+def _summed(cuts: Cuts, first: DataFrame) -> DataFrame:
+    """(n, place, depth) of first(n, ptr, place, depth): both summed from each node up to its root."""
     state, _ = cuts.write(first)
     resolved, active = state.where("ptr is null"), state.where("ptr is not null")
     before = active.count()
     # Only nodes that something points at are looked up, and the nodes pointed at in a round are among those of
     # the round before: both sides of the join shrink as the pointers double.
-    lookup, lookup_path = cuts.write(state.join(active.select(F.col("ptr").alias("id")).distinct(), "id", "left_semi")) if before else (state, None)
+    lookup, lookup_path = cuts.write(state.join(active.select(F.col("ptr").alias("n")).distinct(), "n", "left_semi")) if before else (state, None)
     while before:
-        target = lookup.select(F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("seg").alias("seg2"), F.col("stop_id").alias("stop2"))
-        moved = active.select("id", "ptr", "seg").join(target, "ptr").select("id", F.col("ptr2").alias("ptr"), F.concat("seg2", "seg").alias("seg"), F.col("stop2").alias("stop_id"))
+        target = lookup.select(F.col("n").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("place").alias("place2"), F.col("depth").alias("depth2"))
+        moved = _follow(active, target, before).select("n", F.col("ptr2").alias("ptr"), (F.col("place") + F.col("place2")).alias("place"), (F.col("depth") + F.col("depth2")).alias("depth"))
         moved, _ = cuts.write(moved)
         resolved, active = resolved.unionByName(moved.where("ptr is null")), moved.where("ptr is not null")
-        now = active.count()
-        if now == before:
-            break
-        before = now
-        if now:
-            pointed = small_side(active.select(F.col("ptr").alias("id")).distinct())
-            new, new_path = cuts.write(lookup.where("ptr is null").unionByName(moved).join(pointed, "id", "left_semi"))
+        before = active.count()
+        if before:
+            pointed = small_side(active.select(F.col("ptr").alias("n")).distinct())
+            new, new_path = cuts.write(lookup.where("ptr is null").unionByName(moved).join(pointed, "n", "left_semi"))
             cuts.release(lookup_path)
             lookup, lookup_path = new, new_path
-    return resolved, active
+    return resolved.select("n", "place", "depth")
+
+
+_PATH_SCHEMA = "id string, root_id string, depth int, path array<string>, stop_id string, status string, ring_pos int, place bigint, n_below bigint"
+
+
+def _with_paths(rows: DataFrame, total: int) -> DataFrame:
+    """Paths of rows(id, place, depth, below, status, stop, ring_pos): places are cut into blocks.
+
+    A node goes to the block of its place and, as an opening row, to every later block that its interval reaches
+    into. A block in order of places is then a walk in pre-order, and the ids on the way are its stack.
+    """
+    size = max(1, min(BLOCK_ROWS, -(-total // 64)))
+    first, last = F.floor(F.col("place") / size), F.floor((F.col("place") + F.col("below")) / size)
+    blocks = rows.withColumn("block", F.explode(F.sequence(first, last))).withColumn("open", F.col("block") != first)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(max(parts, 1), "block").sortWithinPartitions("block", "place")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("id", pa.string()), ("root_id", pa.string()), ("depth", pa.int32()), ("path", pa.list_(pa.string())), ("stop_id", pa.string()), ("status", pa.string()), ("ring_pos", pa.int32()), ("place", pa.int64()), ("n_below", pa.int64())])
+        stack: list[str] = []
+        label: tuple = (None, None)
+        for batch in batches:
+            c = batch.to_pydict()
+            flat: list[str] = []
+            ends, kept, roots, labels = [0], [], [], []
+
+            def part() -> pa.RecordBatch:
+                take = lambda name, kind: pa.array([c[name][i] for i in kept], kind)
+                paths = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.string()))
+                columns = [take("id", pa.string()), pa.array(roots, pa.string()), take("depth", pa.int32()), paths, pa.array([x[1] for x in labels], pa.string()), pa.array([x[0] for x in labels], pa.string())]
+                return pa.RecordBatch.from_arrays([*columns, take("ring_pos", pa.int32()), take("place", pa.int64()), take("below", pa.int64())], schema=schema)
+
+            for i, (name, depth, status, stop, opening) in enumerate(zip(c["id"], c["depth"], c["status"], c["stop"], c["open"])):
+                stack[depth:] = [name]
+                if not depth:
+                    label = (status, stop)
+                if opening:
+                    continue
+                flat += stack
+                ends.append(len(flat))
+                kept.append(i)
+                roots.append(stack[0] if label[0] == "rooted" else None)
+                labels.append(label)
+                if len(flat) > BATCH_IDS:
+                    yield part()
+                    flat, ends, kept, roots, labels = [], [0], [], [], []
+            yield part()
+
+    return blocks.select("id", "depth", "status", "stop", "ring_pos", "place", "below", "open").mapInArrow(walk, _PATH_SCHEMA)
 
 
 def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id", revision_col: str | None = "revision") -> DataFrame:
-    """Per node: id, root_id, depth, path (root first, the node last), stop_id, status, ring_pos.
+    """Per node: id, root_id, depth, path (root first, the node last), stop_id, status, ring_pos, place, n_below.
 
     ``status`` is ``rooted``, ``missing-parent`` or ``circle``. Below a missing parent the path starts
     with the missing id's child and depth counts from it. Circles are cut at their members: the path of a
     member is the member alone, that of a node below starts at its entry to the circle, and depth counts
     from there. ``ring_pos`` is a member's steps down from the smallest id of its circle, else null.
-    Path segments are concatenated as the pointers double.
+    ``place`` numbers all nodes in pre-order of the cut forest, so the nodes below a node are those of the
+    ``n_below`` places after its own.
+
+    Nodes are numbered, and only numbers, counts and places move while the pointers double; the ids of a path
+    are put together once, in a walk over the places.
     """
     cuts = Cuts(df.sparkSession, "hierarchy")
-    nodes, _ = cuts.write(current_nodes(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col))
-    known = nodes.select(F.col("id").alias("parent"), F.lit(True).alias("known"))
-    first = nodes.where("parent is not null").join(known, "parent", "left").unionByName(nodes.where("parent is null").withColumn("known", F.lit(None).cast("boolean")))
-    # seg: the ids from just below ptr down to the node itself.
-    first = first.select(
-        "id",
-        F.when(F.col("known"), F.col("parent")).alias("ptr"),
-        F.array("id").alias("seg"),
-        F.when(F.col("known").isNull(), F.col("parent")).alias("stop_id"),
-    )
-    resolved, active = _paths(cuts, first)
-    out = resolved.select(
-        "id",
-        F.when(F.col("stop_id").isNull(), F.col("seg")[0]).alias("root_id"),
-        (F.size("seg") - 1).alias("depth"),
-        F.col("seg").alias("path"),
-        "stop_id",
-        F.when(F.col("stop_id").isNull(), "rooted").otherwise("missing-parent").alias("status"),
-        F.lit(None).cast("int").alias("ring_pos"),
-    )
-    if not active.limit(1).count():
-        return out
-    ring, _ = cuts.write(nodes.join(active.select("id"), "id", "left_semi"))
-    ring, _ = cuts.write(ring.join(_circles(cuts, ring), "id"))
-    below, _ = _paths(cuts, ring.select("id", F.when(~F.col("member"), F.col("parent")).alias("ptr"), F.array("id").alias("seg"), F.lit(None).cast("string").alias("stop_id")))
-    circle = below.select("id", "seg").join(ring.select("id", "stop_id"), "id").join(_ring_places(cuts, ring.where("member")), "id", "left")
-    circle = circle.select("id", F.lit(None).cast("string").alias("root_id"), (F.size("seg") - 1).alias("depth"), F.col("seg").alias("path"), "stop_id", F.lit("circle").alias("status"), "ring_pos")
-    return out.unionByName(circle)
+    nodes, _ = cuts.write(current_nodes(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col).withColumn("n", F.monotonically_increasing_id()))
+    total = nodes.count()
+    up = nodes.select(F.col("id").alias("ptr"), F.col("n").alias("up"))
+    linked = _follow(nodes.where("parent is not null").withColumnRenamed("parent", "ptr"), up, total).select("n", "up")
+    forest = nodes.join(linked, "n", "left")
+    forest = forest.select("n", "id", "parent", "up", F.when(F.col("up").isNull(), F.when(F.col("parent").isNull(), "rooted").otherwise("missing-parent")).alias("status"), F.when(F.col("up").isNull(), F.col("parent")).alias("stop"), F.lit(None).cast("int").alias("ring_pos"))
+    forest, _ = cuts.write(forest)
+    below, stuck = _below(cuts, forest.select("n", F.col("up").alias("ptr")))
+    if stuck is not None:
+        ring, _ = cuts.write(forest.join(stuck, "n", "left_semi"))
+        ends, _ = cuts.write(_circles(cuts, ring.select("id", "parent")))
+        members = ring.join(ends.where("member"), "id")
+        places = _ring_places(cuts, members.select("id", "parent", "stop_id"))
+        cut = ring.drop("status", "stop", "ring_pos").join(ends, "id").join(places, "id", "left")
+        cut = cut.select("n", "id", "parent", F.when(~F.col("member"), F.col("up")).alias("up"), F.when(F.col("member"), "circle").alias("status"), F.when(F.col("member"), F.col("stop_id")).alias("stop"), "ring_pos")
+        cut, _ = cuts.write(cut)
+        forest = forest.join(stuck, "n", "left_anti").unionByName(cut)
+        below = below.unionByName(_below(cuts, cut.select("n", F.col("up").alias("ptr")))[0])
+    sized, _ = cuts.write(forest.drop("parent").join(below, "n", "left").withColumn("below", F.coalesce("below", F.lit(0).cast("bigint"))))
+    placed = _summed(cuts, _steps(cuts, sized, total))
+    return _with_paths(sized.drop("up").join(placed, "n").drop("n"), total)
 
 
 def descendants(paths: DataFrame) -> DataFrame:

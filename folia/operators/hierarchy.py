@@ -18,18 +18,22 @@ the smallest id of the circle. An empty table gives an empty result. Extra colum
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folia.plans.broadcasts import small_side
+from folia.functions.frames import frame
 from folia.plans.lineage import Cuts
 
 #: Rows from which the targets of heavy keys are broadcast, and how many such keys there can be at most.
 HEAVY_ROWS, HEAVY_KEYS = 200_000, 500
+#: Rows that are left of a job when one task finishes it; the rounds go on above.
+TAIL_ROWS = 200_000
 #: Places of one block of the walk that puts paths together.
 BLOCK_ROWS = 50_000
 #: Ids of paths that one Arrow batch holds before it is sent.
@@ -53,45 +57,109 @@ def current_nodes(df: DataFrame, *, id_col: str = "id", parent_col: str = "paren
     return best.select("id", F.col("b.parent").alias("parent"))
 
 
-def _rounds(cuts: Cuts, state: DataFrame, path: str) -> tuple[DataFrame, str]:
-    """Double pointers in ``state(n, ptr, stop)`` until no active row (``stop`` null) resolves.
+def _one_task(rows: DataFrame, solve: Callable[[pd.DataFrame], list[tuple]], schema: str) -> DataFrame:
+    """Rows of ``solve`` over all ``rows``, which were counted to be at most ``TAIL_ROWS``."""
+    columns, names = rows.columns, [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        yield frame(solve(pd.concat(parts) if parts else pd.DataFrame(columns=columns)), names)
+
+    return rows.repartition(1).mapInPandas(run, schema)
+
+
+def _int(x: object) -> int | None:
+    return None if x is None or x != x else int(x)
+
+
+def _ends(rows: pd.DataFrame) -> list[tuple]:
+    """(n, ptr, stop) of state rows with every pointer followed to its end; rows that reach a root are left out."""
+    ptr = {int(n): None if isinstance(s, str) else int(p) for n, p, s in zip(rows["n"], rows["ptr"], rows["stop"])}
+    end: dict[int, object] = {int(n): s for n, s in zip(rows["n"], rows["stop"]) if isinstance(s, str)}
+    for n in ptr:
+        way, seen = [], set()
+        while n in ptr and n not in end and n not in seen:
+            seen.add(n)
+            way.append(n)
+            n = ptr[n]
+        # A walk that meets itself has met a circle; one that leaves the table has met a root.
+        stop = end[n] if n in end else False if n in seen else True
+        end.update(dict.fromkeys(way, stop))
+    return [(n, ptr[n], e if isinstance(e, str) else None) for n, e in end.items() if e is not True]
+
+
+def _rounds(cuts: Cuts, first: DataFrame) -> DataFrame:
+    """Double pointers in ``first(n, ptr, stop)`` until no active row (``stop`` null) resolves.
 
     ``ptr`` of an active row names another row; a row that is no longer in the table has reached a root.
     """
-    before = state.where("stop is null").count()
-    while before:
+    state, path, before = cuts.write_counted(first, "stop is null")
+    while before > TAIL_ROWS:
         active = state.where("stop is null")
         target = state.select(F.col("n").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("stop").alias("stop2"))
         moved = _follow(active.select("n", "ptr"), target, before).select("n", F.col("ptr2").alias("ptr"), F.col("stop2").alias("stop"))
-        new, new_path = cuts.write(moved.unionByName(state.where("stop is not null")))
+        new, new_path, now = cuts.write_counted(moved.unionByName(state.where("stop is not null")), "stop is null")
         cuts.release(path)
         state, path = new, new_path
-        now = state.where("stop is null").count()
         if now == before:
-            break
+            return state
         before = now
-    return state, path
-
-
-def _circles(cuts: Cuts, rows: DataFrame) -> DataFrame:
-    """(id, stop) of rows(id, parent) that all point into circles: the smallest id of each circle."""
+    if not before:
+        return state
+    active = state.where("stop is null")
+    # The rows left and those with a stop that they point at: no more than twice the bound.
+    pointed = state.where("stop is not null").join(active.select(F.col("ptr").alias("n")).distinct(), "n", "left_semi")
+    solved, _ = cuts.write(_one_task(active.unionByName(pointed), _ends, "n bigint, ptr bigint, stop string"))
+    return state.where("stop is not null").join(solved.select("n"), "n", "left_anti").unionByName(solved)
+
+
+def _rings(rows: pd.DataFrame) -> list[tuple]:
+    """(id, stop_id, member, ring_pos) of rows (id, parent) that all point into circles."""
+    parent = dict(zip(rows["id"], rows["parent"]))
+    stop: dict[str, str] = {}
+    place: dict[str, int] = {}
+    for n in parent:
+        way, at = [], {}
+        while n not in stop and n not in at:
+            at[n] = len(way)
+            way.append(n)
+            n = parent[n]
+        if n not in stop:
+            ring = way[at[n] :]
+            low = min(ring)
+            k = ring.index(low)
+            # The walk goes up, so a member's steps down from the smallest id are its steps up to it.
+            place.update({x: (k - i) % len(ring) for i, x in enumerate(ring)})
+            stop.update(dict.fromkeys(ring, low))
+        stop.update(dict.fromkeys((x for x in way if x not in stop), stop[n]))
+    return [(i, stop[i], i in place, place.get(i)) for i in parent]
+
+
+def _circles(cuts: Cuts, rows: DataFrame, total: int) -> DataFrame:
+    """(id, stop_id, member, ring_pos) of rows(id, parent) that all point into circles.
+
+    ``stop_id`` is the smallest id of the circle, ``ring_pos`` a member's steps down from it.
+    """
+    if total <= TAIL_ROWS:
+        return cuts.write(_one_task(rows.select("id", "parent"), _rings, "id string, stop_id string, member boolean, ring_pos int"))[0]
     state, path = cuts.write(rows.select("id", F.col("parent").alias("ptr"), F.least("id", "parent").alias("low")))
-    images, total = -1, -1
+    images, checksum = -1, -1
     while True:
-        n = state.select("ptr").distinct().count()
         # Pointers are all on circles once their number stays; minima are whole once they do not change.
-        same = state.agg(F.sum(F.xxhash64("id", "low").cast("decimal(38,0)"))).first()[0]
-        if n == images and same == total or n == 0:
+        n, same = state.agg(F.count_distinct("ptr"), F.sum(F.xxhash64("id", "low").cast("decimal(38,0)"))).first()
+        if n == images and same == checksum or n == 0:
             break
-        images, total = n, same
+        images, checksum = n, same
         target = state.select(F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("low").alias("low2"))
-        new, new_path = cuts.write(state.join(target, "ptr").select("id", F.col("ptr2").alias("ptr"), F.least("low", "low2").alias("low")))
+        new, new_path = cuts.write(_follow(state, target, total).select("id", F.col("ptr2").alias("ptr"), F.least("low", "low2").alias("low")))
         cuts.release(path)
         state, path = new, new_path
     on = state.select(F.col("id").alias("ptr"), F.col("low").alias("stop_id"))
     # After the last round every pointer lies on its circle, and every member is pointed at.
     members = state.select("ptr").distinct().select(F.col("ptr").alias("id"), F.lit(True).alias("member"))
-    return state.select("id", "ptr").join(on, "ptr").select("id", "stop_id").join(members, "id", "left").select("id", "stop_id", F.coalesce("member", F.lit(False)).alias("member"))
+    ends = _follow(state.select("id", "ptr"), on, total).select("id", "stop_id").join(members, "id", "left").select("id", "stop_id", F.coalesce("member", F.lit(False)).alias("member"))
+    ends, _ = cuts.write(ends)
+    return ends.join(_ring_places(cuts, rows.join(ends.where("member"), "id")), "id", "left")
 
 
 def _ring_places(cuts: Cuts, members: DataFrame) -> DataFrame:
@@ -99,11 +167,12 @@ def _ring_places(cuts: Cuts, members: DataFrame) -> DataFrame:
 
     The circle is cut above its smallest id, and the steps are summed as the pointers double.
     """
-    state, path = cuts.write(members.select("id", F.when(F.col("id") != F.col("stop_id"), F.col("parent")).alias("ptr"), F.when(F.col("id") != F.col("stop_id"), 1).otherwise(0).alias("ring_pos")))
-    while state.where("ptr is not null").limit(1).count():
+    first = members.select("id", F.when(F.col("id") != F.col("stop_id"), F.col("parent")).alias("ptr"), F.when(F.col("id") != F.col("stop_id"), 1).otherwise(0).alias("ring_pos"))
+    state, path, left = cuts.write_counted(first, "ptr is not null")
+    while left:
         target = state.select(F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("ring_pos").alias("more"))
         moved = state.where("ptr is not null").join(target, "ptr").select("id", F.col("ptr2").alias("ptr"), (F.col("ring_pos") + F.col("more")).alias("ring_pos"))
-        new, new_path = cuts.write(state.where("ptr is null").unionByName(moved))
+        new, new_path, left = cuts.write_counted(state.where("ptr is null").unionByName(moved), "ptr is not null")
         cuts.release(path)
         state, path = new, new_path
     return state.select("id", "ring_pos")
@@ -120,15 +189,14 @@ def unrooted(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id"
     up = nodes.select(F.col("id").alias("parent"), F.col("n").alias("ptr"))
     first = nodes.where("parent is not null").select("n", "parent").join(up, "parent", "left")
     first = first.select("n", "ptr", F.when(F.col("ptr").isNull(), F.col("parent")).alias("stop"))
-    start, path = cuts.write(first)
     # A pointer at a root leads out of the table, which the first join of the rounds resolves.
-    state, _ = _rounds(cuts, start, path)
+    state = _rounds(cuts, first)
     broken = state.where("stop is not null").select("n", F.col("stop").alias("stop_id"))
     left = state.where("stop is null").select("n")
     names = nodes.select("n", "id", "parent")
     lost = names.join(broken, "n").select("id", "stop_id")
-    ring, _ = cuts.write(names.join(left, "n").select("id", "parent"))
-    return lost.unionByName(_circles(cuts, ring).select("id", "stop_id"))
+    ring, _, size = cuts.write_counted(names.join(left, "n").select("id", "parent"))
+    return lost.unionByName(_circles(cuts, ring, size).select("id", "stop_id"))
 
 
 def _follow(pointing: DataFrame, target: DataFrame, total: int) -> DataFrame:
@@ -144,33 +212,62 @@ def _follow(pointing: DataFrame, target: DataFrame, total: int) -> DataFrame:
     return pointing.join(few, "ptr").unionByName(pointing.join(heavy, "ptr", "left_anti").join(target, "ptr"))
 
 
-def _below(cuts: Cuts, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(n, below): the nodes below each node of links(n, ptr), leaves left out; and the (n) that hang in circles.
+def _adds(rows: pd.DataFrame) -> list[tuple]:
+    """(n, add) over all rounds left of active rows (n, ptr, cnt); rows in circles come out with a null."""
+    ptr = {int(n): int(p) for n, p in zip(rows["n"], rows["ptr"])}
+    size = {int(n): int(c) for n, c in zip(rows["n"], rows["cnt"])}
+    waiting = Counter(ptr.values())
+    add: Counter = Counter()
+    ready = [n for n in ptr if not waiting[n]]
+    done: set[int] = set()
+    while ready:
+        n = ready.pop()
+        done.add(n)
+        up = ptr[n]
+        add[up] += size[n] + add[n]
+        waiting[up] -= 1
+        if not waiting[up] and up in ptr:
+            ready.append(up)
+    # Members of circles always wait for one another; a chain that meets one hangs below it.
+    end: dict[int, bool] = dict.fromkeys(ptr.keys() - done, True)
+    for n in ptr:
+        way = []
+        while n in ptr and n not in end:
+            way.append(n)
+            n = ptr[n]
+        end.update(dict.fromkeys(way, end.get(n, False)))
+    stuck = {n for n, e in end.items() if e}
+    return [(n, c) for n, c in add.items() if n not in stuck] + [(n, None) for n in stuck]
+
+
+def _below(cuts: Cuts, links: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
+    """(n, below): the nodes below each node of links(n, ptr), leaves left out; the (n) that hang in circles; their number.
 
     ``cnt`` counts a node and those below it within the distance that its pointer covers, so the rows of a round
     add up at the nodes they point at. Rows leave when their pointer has no pointer itself.
     """
-    active, path = cuts.write(links.where("ptr is not null").withColumn("cnt", F.lit(1).cast("bigint")))
-    before, sums = active.count(), []
-    while before:
+    active, path, before = cuts.write_counted(links.where("ptr is not null").withColumn("cnt", F.lit(1).cast("bigint")))
+    sums, stuck, n_stuck = [], None, 0
+    while before > TAIL_ROWS:
         add, _ = cuts.write(active.groupBy(F.col("ptr").alias("n")).agg(F.sum("cnt").alias("add")))
         sums.append(add)
         target = active.select(F.col("n").alias("ptr"), F.col("ptr").alias("ptr2"))
         moved = _follow(active, target, before).join(add, "n", "left")
-        new, new_path = cuts.write(moved.select("n", F.col("ptr2").alias("ptr"), (F.col("cnt") + F.coalesce("add", F.lit(0))).alias("cnt")))
+        new, new_path, now = cuts.write_counted(moved.select("n", F.col("ptr2").alias("ptr"), (F.col("cnt") + F.coalesce("add", F.lit(0))).alias("cnt")))
         cuts.release(path)
         active, path = new, new_path
-        now = active.count()
         if now == before:
+            stuck, n_stuck = active.select("n"), now
             break
         before = now
+    if before and stuck is None:
+        rest, _, n_stuck = cuts.write_counted(_one_task(active, _adds, "n bigint, add bigint"), "add is null")
+        sums.append(rest.where("add is not null"))
+        stuck = rest.where("add is null").select("n") if n_stuck else None
     if not sums:
-        return links.select("n", F.lit(0).cast("bigint").alias("below")).limit(0), None
+        return links.select("n", F.lit(0).cast("bigint").alias("below")).limit(0), None, 0
     every = reduce(DataFrame.unionByName, sums).groupBy("n").agg(F.sum("add").alias("below"))
-    if not before:
-        return every, None
-    stuck = active.select("n")
-    return every.join(stuck, "n", "left_anti"), stuck
+    return (every if stuck is None else every.join(stuck, "n", "left_anti")), stuck, n_stuck
 
 
 def _steps(cuts: Cuts, rows: DataFrame, total: int) -> DataFrame:
@@ -189,26 +286,43 @@ def _steps(cuts: Cuts, rows: DataFrame, total: int) -> DataFrame:
     return out.select("n", F.col("up").alias("ptr"), F.when(F.col("up").isNull(), F.col("step")).otherwise(F.col("step") + 1).alias("place"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth"))
 
 
+def _sums(rows: pd.DataFrame) -> list[tuple]:
+    """(n, place, depth) of the active rows among (n, ptr, place, depth), summed up to where no pointer is left."""
+    ptr = {int(n): _int(p) for n, p in zip(rows["n"], rows["ptr"])}
+    total = {int(n): (int(p), int(d)) for n, p, d in zip(rows["n"], rows["place"], rows["depth"])}
+    active = [n for n, p in ptr.items() if p is not None]
+    for n in active:
+        way = []
+        while ptr[n] is not None:
+            way.append(n)
+            n = ptr[n]
+        place, depth = total[n]
+        for x in reversed(way):
+            place, depth = total[x][0] + place, total[x][1] + depth
+            total[x], ptr[x] = (place, depth), None
+    return [(n, *total[n]) for n in active]
+
+
 def _summed(cuts: Cuts, first: DataFrame) -> DataFrame:
     """(n, place, depth) of first(n, ptr, place, depth): both summed from each node up to its root."""
-    state, _ = cuts.write(first)
+    state, _, before = cuts.write_counted(first, "ptr is not null")
     resolved, active = state.where("ptr is null"), state.where("ptr is not null")
-    before = active.count()
     # Only nodes that something points at are looked up, and the nodes pointed at in a round are among those of
     # the round before: both sides of the join shrink as the pointers double.
-    lookup, lookup_path = cuts.write(state.join(active.select(F.col("ptr").alias("n")).distinct(), "n", "left_semi")) if before else (state, None)
-    while before:
+    lookup, lookup_path = state, None
+    while before > TAIL_ROWS:
         target = lookup.select(F.col("n").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("place").alias("place2"), F.col("depth").alias("depth2"))
         moved = _follow(active, target, before).select("n", F.col("ptr2").alias("ptr"), (F.col("place") + F.col("place2")).alias("place"), (F.col("depth") + F.col("depth2")).alias("depth"))
-        moved, _ = cuts.write(moved)
+        moved, _, before = cuts.write_counted(moved, "ptr is not null")
         resolved, active = resolved.unionByName(moved.where("ptr is null")), moved.where("ptr is not null")
-        before = active.count()
-        if before:
-            pointed = small_side(active.select(F.col("ptr").alias("n")).distinct())
-            new, new_path = cuts.write(lookup.where("ptr is null").unionByName(moved).join(pointed, "n", "left_semi"))
-            cuts.release(lookup_path)
-            lookup, lookup_path = new, new_path
-    return resolved.select("n", "place", "depth")
+        pointed = active.select(F.col("ptr").alias("n")).distinct()
+        new, new_path = cuts.write(lookup.where("ptr is null").unionByName(moved).join(pointed, "n", "left_semi"))
+        cuts.release(lookup_path)
+        lookup, lookup_path = new, new_path
+    if not before:
+        return resolved.select("n", "place", "depth")
+    pointed = lookup.where("ptr is null").join(active.select(F.col("ptr").alias("n")).distinct(), "n", "left_semi")
+    return resolved.select("n", "place", "depth").unionByName(_one_task(active.unionByName(pointed), _sums, "n bigint, place bigint, depth int"))
 
 
 _PATH_SCHEMA = "id string, root_id string, depth int, path array<string>, stop_id string, status string, ring_pos int, place bigint, n_below bigint"
@@ -274,20 +388,17 @@ def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id
     are put together once, in a walk over the places.
     """
     cuts = Cuts(df.sparkSession, "hierarchy")
-    nodes, _ = cuts.write(current_nodes(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col).withColumn("n", F.monotonically_increasing_id()))
-    total = nodes.count()
+    nodes, _, total = cuts.write_counted(current_nodes(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col).withColumn("n", F.monotonically_increasing_id()))
     up = nodes.select(F.col("id").alias("ptr"), F.col("n").alias("up"))
     linked = _follow(nodes.where("parent is not null").withColumnRenamed("parent", "ptr"), up, total).select("n", "up")
     forest = nodes.join(linked, "n", "left")
     forest = forest.select("n", "id", "parent", "up", F.when(F.col("up").isNull(), F.when(F.col("parent").isNull(), "rooted").otherwise("missing-parent")).alias("status"), F.when(F.col("up").isNull(), F.col("parent")).alias("stop"), F.lit(None).cast("int").alias("ring_pos"))
     forest, _ = cuts.write(forest)
-    below, stuck = _below(cuts, forest.select("n", F.col("up").alias("ptr")))
+    below, stuck, n_stuck = _below(cuts, forest.select("n", F.col("up").alias("ptr")))
     if stuck is not None:
         ring, _ = cuts.write(forest.join(stuck, "n", "left_semi"))
-        ends, _ = cuts.write(_circles(cuts, ring.select("id", "parent")))
-        members = ring.join(ends.where("member"), "id")
-        places = _ring_places(cuts, members.select("id", "parent", "stop_id"))
-        cut = ring.drop("status", "stop", "ring_pos").join(ends, "id").join(places, "id", "left")
+        ends = _circles(cuts, ring.select("id", "parent"), n_stuck)
+        cut = ring.drop("status", "stop", "ring_pos").join(ends, "id")
         cut = cut.select("n", "id", "parent", F.when(~F.col("member"), F.col("up")).alias("up"), F.when(F.col("member"), "circle").alias("status"), F.when(F.col("member"), F.col("stop_id")).alias("stop"), "ring_pos")
         cut, _ = cuts.write(cut)
         forest = forest.join(stuck, "n", "left_anti").unionByName(cut)

@@ -9,16 +9,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one is set only where none is configured."""
+    """The session's checkpoint folder. A temporary one stands in only on a single machine; a cluster must name one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="folia-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    if where:
+        return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    where = "file://" + tempfile.mkdtemp(prefix="folia-")
+    spark.conf.set("spark.checkpoint.dir", where)
+    return where
 
 
 class Cuts:
@@ -37,6 +41,12 @@ class Cuts:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(schema).parquet(path), path
 
+    def write_counted(self, df: DataFrame, where: str = "true") -> tuple[DataFrame, str, int]:
+        """:meth:`write` with the number of written rows that meet a condition, counted while writing."""
+        seen = Observation()
+        out, path = self.write(df.observe(seen, F.count_if(F.expr(where)).alias("n")))
+        return out, path, seen.get["n"]
+
     def release(self, *paths: str | None) -> None:
         """Delete generations that no later step reads."""
         jvm = self.spark._jvm

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from folia.operators import graphs, hierarchy
 
 SCHEMA = "id string, parent_id string, revision int, ptr string, n long"
@@ -48,6 +50,11 @@ def check(spark, rows):
     for i, s in found.items():
         assert got[i].stop_id == s and got[i].root_id is None
     counts = {r.id: r.n_descendants for r in hierarchy.descendant_counts(h).collect()}
+    at = {r.place: i for i, r in got.items()}
+    assert sorted(at) == list(range(len(got)))
+    for i, r in got.items():
+        under = {at[p] for p in range(r.place + 1, r.place + r.n_below + 1)}
+        assert under == {j for j, q in got.items() if i in q.path[:-1]}
     below = {(a, i, len(p) - 1 - k) for i, p in paths.items() for k, a in enumerate(p[:-1])}
     pairs = {(r.ancestor_id, r.descendant_id, r.distance) for r in hierarchy.descendants(h.where("status = 'rooted'")).collect()}
     assert pairs == below
@@ -55,7 +62,17 @@ def check(spark, rows):
         assert counts[i] == sum(a == i for a, _, _ in below)
 
 
-def test_dirty_rows(spark):
+@pytest.fixture(params=[0, hierarchy.TAIL_ROWS], ids=["rounds", "one task"])
+def tail(request, monkeypatch):
+    """The rounds alone, and small inputs in one task."""
+    monkeypatch.setattr(hierarchy, "TAIL_ROWS", request.param)
+    if not request.param:
+        monkeypatch.setattr(hierarchy, "HEAVY_ROWS", 1)
+        monkeypatch.setattr(hierarchy, "HEAVY_KEYS", 6)
+        monkeypatch.setattr(hierarchy, "BLOCK_ROWS", 4)
+
+
+def test_dirty_rows(spark, tail):
     check(
         spark,
         [
@@ -66,7 +83,7 @@ def test_dirty_rows(spark):
     )
 
 
-def test_random_forests(spark):
+def test_random_forests(spark, tail):
     rnd = random.Random(4)
     rows = [("t0", None, 1, None, None)] + [(f"t{k}", f"t{k - 1}", 1, None, None) for k in range(1, 70)]  # one long chain
     rows += [(f"u{k}", rnd.choice([None, f"u{rnd.randrange(60)}", "gone"]), rnd.randrange(3), None, None) for k in (rnd.randrange(60) for _ in range(90))]
@@ -74,7 +91,7 @@ def test_random_forests(spark):
     check(spark, rows)
 
 
-def test_circles_and_what_hangs_below(spark):
+def test_circles_and_what_hangs_below(spark, tail):
     rnd = random.Random(9)
     parent = {f"c{k}": f"c{(k + 1) % 5}" for k in range(5)} | {"self": "self", "x": "y", "y": "x", "top": None, "mid": "top", "lost": "gone", "under": "lost"}
     for k in range(40):
@@ -104,7 +121,7 @@ def test_circles_and_what_hangs_below(spark):
     assert {r.id: r.n_descendants for r in hierarchy.descendant_counts(h).collect()} == {i: sum(a == i for a, _, _ in want) for i in parent}
 
 
-def test_empty(spark):
+def test_empty(spark, tail):
     df = spark.createDataFrame([], SCHEMA)
     assert hierarchy.unrooted(df).collect() == []
     assert hierarchy.hierarchy(df).collect() == []

@@ -1,13 +1,16 @@
 """Markup residue: which tokens of a text belong to the formatting, and the text without them.
 
-Wrappers are inferred as union-free regular expressions. Texts of one host (one manual) are cut into token
-streams of words and candidate tokens of HTML, Markdown, wiki, LaTeX and the typesetter. A stream is aligned
-with the stream of another witness of the same region: equal tokens stay, differing words become text slots,
-candidate tokens that one side lacks become optional groups, groups that follow themselves become repeated
-ones. The wrapper of a host is the fold of all its streams, ``((group)? (group)+? ... #TEXT)+``; what the
-alignment keeps on both sides (key names, prices, names with stars) is text, not template. Hosts share
-their counts where their own are few, and a group that no stream has shown falls back to the known elements
-of its language.
+Wrappers are inferred as union-free regular expressions. A text becomes a nested stream of candidate tokens
+of HTML, Markdown, wiki, LaTeX and the typesetter with text slots between them; tokens that open and close
+are pairs with a stream inside. The streams of one host (one manual) are aligned one after the other with
+the expression folded so far: groups that a stream passes over become optional, groups that follow
+themselves repeated, what the expression lacks is put in where the alignment stands. The expression of a
+host is ``((group ((group)? #TEXT)+)+? ... #TEXT)+``, with order, nesting, ``?`` and ``+`` and no alternatives.
+
+Whether a group is template or text is shown by other witnesses of the regions: token streams of both are
+aligned, and a group that the other witness mostly goes on without is template, one that both keep (key names,
+prices, names with stars) is text. Where a host has shown a group seldom, the expression of all hosts counts
+as further sightings, then the key wherever it stands, then lists of known elements.
 
 Applying a wrapper parses a text with it: tokens that match a group are markup; headings, lists, code and
 formulas keep a plain form of their structure in the clean text.
@@ -22,7 +25,7 @@ import html
 import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
@@ -34,10 +37,10 @@ from folia.functions.frames import frame
 from folia.llm.lookalike import skeleton
 from folia.plans.samples import bounded_sample
 
-#: Regions of the fitting sample, at most; tokens of a stream up to which two witnesses are aligned in fitting.
-SAMPLE_REGIONS, FIT_TOKENS = 6_000, 400
-#: Sightings from which a wrapper's own counts decide, and the share of dropped ones that makes a group.
-ENOUGH, DROPPED = 4, 0.5
+#: Regions of the fitting sample, at most; candidate tokens of a stream up to which two witnesses are aligned in it.
+SAMPLE_REGIONS, FIT_TOKENS = 6_000, 2_000
+#: Sightings that the share of the next wider level counts for, and the share of dropped ones that makes a group.
+WEIGHT, DROPPED = 4.0, 0.5
 
 #: Elements of HTML and of the wiki's tags (fixed values).
 ELEMENTS = frozenset(
@@ -48,7 +51,7 @@ TOKENS = re.compile(
     r"""(?P<comment><!--.*?-->)
     |(?P<tag></?(?P<tagname>[A-Za-z][A-Za-z0-9-]*)(?:\s+[\w:-]+(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+))?)*\s*/?>)
     |(?P<entity>&(?:amp;)*(?:\#\d{1,7}|\#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});)
-    |(?P<tex>\\(?P<texname>[A-Za-z]+)\*?(?:\[[^\]\n]{0,40}\])?(?:\{(?P<texarg>[^{}\n]{0,40})\})?)
+    |(?P<tex>\\(?P<texname>[A-Za-z]+)\*?(?:\[[^\]\n]*\])?(?:\{(?P<texarg>[^{}\n]*)\})?)
     |(?P<texsign>\\[&%$\#_{}\[\]()~^\\]|(?<=\w)~(?=\\)|\\\s(?=\w))
     |(?P<control>\x06[0-9*]|\x16\(|[\x00-\x08\x0b\x0c\x0e-\x1f\x7f])
     |(?P<directive>^[.](?P<dirname>[A-Za-z]\w*)\b)
@@ -60,8 +63,8 @@ TOKENS = re.compile(
     |(?P<bullet>^[ ]{0,3}[-*+][ ]+(?=\S))
     |(?P<quote>^>[ ]?)
     |(?P<link>!?\[(?=[^\]\n]+\]\([^()\s]+\))|\]\((?P<url>[^()\s]+)\))
-    |(?P<wikilink>\[\[(?:[^\[\]|\n]{1,80}\|)?|\]\])
-    |(?P<template>\{\{(?:[^{}|\n]{1,40}\|)?|\}\})
+    |(?P<wikilink>\[\[(?:[^\[\]|\n]+\|)?|\]\])
+    |(?P<template>\{\{(?:[^{}|\n]+\|)?|\}\})
     |(?P<wikitable>^\{\|.*$|^\|[-}+].*$)
     |(?P<apostrophes>'{2,5}(?=\S)|(?<=\S)'{2,5})
     |(?P<stars>\*{2,3}(?=[^\s*])|(?<=[^\s*])\*{2,3}(?!\w))
@@ -94,6 +97,7 @@ class Token:
     end: int
     key: str
     kind: str
+    opens: bool = True
 
 
 def candidates(text: str) -> list[Token]:
@@ -115,13 +119,16 @@ def candidates(text: str) -> list[Token]:
             key = "dir:" + m["dirname"]
         elif kind == "star":
             key = "star:name" if _VARIABLE.match(text, m.start()) else "star"
+        elif kind == "brace" and m.group().startswith("{\\"):
+            key = "brace:tex"
         elif kind in ("math", "texsign"):
             key = f"{kind}:{m.group()[:2]}"
         else:
             key = kind
         if kind in ("bullet", "heading", "quote", "rule", "tick", "stars", "brace", "texsign", "apostrophes", "strike", "lines", "star", "line", "math", "template", "wikilink") and _in_code(text, m.start()):
             key += "@code"
-        out.append(Token(m.start(), m.end(), key, kind))
+        # Only a sign of headings stands at both ends of a line.
+        out.append(Token(m.start(), m.end(), key, kind, kind != "wikihead" or not m.start() or text[m.start() - 1] == "\n"))
     return out
 
 
@@ -143,86 +150,223 @@ def stream(text: str) -> list[tuple[str, str | None]]:
 
 
 @dataclass
-class Wrapper:
-    """A union-free expression ``((group)? ... #TEXT)+`` with the sightings of each group."""
-
-    dropped: Counter = field(default_factory=Counter)
-    kept: Counter = field(default_factory=Counter)
-    repeated: set[str] = field(default_factory=set)
-
-    def fold(self, left: list[tuple[str, str | None]], right: list[tuple[str, str | None]]) -> None:
-        """Align two streams of one region and widen the expression by what they show."""
-        a, b = [s for s, _ in left], [s for s, _ in right]
-        last = None
-        for op, i1, i2, j1, j2 in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-            if op == "equal":
-                self.kept.update(k for _, k in left[i1:i2] if k)
-                last = None
+class Item:
+    """One sighting: a lone token, or a pair that opens and closes with what stands between; a slot has no token."""
+
+    key: str
+    kind: str
+    tokens: list[Token]
+    inner: list[Item] = field(default_factory=list)
+
+
+SLOT = "#TEXT"
+#: Kinds whose first token opens and whose next one of the same key closes (fixed values).
+TURNS = frozenset("apostrophes stars strike lines tick star line math fence wikihead rule".split())
+
+
+def _role(text: str, t: Token) -> str:
+    raw = text[t.start : t.end]
+    if t.kind == "tag":
+        return "close" if raw.startswith("</") else "lone" if raw.endswith("/>") else "open"
+    if t.kind in ("link", "wikilink", "template", "brace"):
+        return "close" if raw[0] in "]}" else "open"
+    if t.kind in TURNS and t.kind != "rule":
+        return "turn"
+    name = t.key.partition(":")[2]
+    if t.kind == "tex" and name in ("begin", "end"):
+        return "open" if name == "begin" else "close"
+    if t.kind == "directive":
+        return "close" if name.startswith("end_") else "open"
+    return "lone"
+
+
+def _pair_key(t: Token) -> str:
+    """What an opening and a closing token have in common; a pair is called by its opening one."""
+    return "brace" if t.kind == "brace" else t.key.replace("tex:end", "tex:begin").replace("dir:end_", "dir:")
+
+
+def _name(t: Token) -> str:
+    return t.key if t.kind == "brace" else _pair_key(t)
+
+
+def items(text: str, tokens: list[Token]) -> list[Item]:
+    """The tokens of a text as a nested sequence with text slots; a token without its partner stands alone."""
+    # (items so far, the token that opened the level)
+    levels: list[tuple[list[Item], Token | None]] = [([], None)]
+    at = 0
+    for t in tokens:
+        if _WORD.search(text, at, t.start):
+            levels[-1][0].append(Item(SLOT, "slot", []))
+        at = t.end
+        role, key = _role(text, t), _pair_key(t)
+        if role in ("close", "turn"):
+            k = next((i for i in range(len(levels) - 1, 0, -1) if _pair_key(levels[i][1]) == key), 0)
+            if k:
+                while len(levels) > k + 1:
+                    _give_up(levels)
+                inner, first = levels.pop()
+                levels[-1][0].append(Item(_name(first), t.kind, [first, t], inner))
                 continue
-            other = Counter(k for _, k in right[j1:j2] if k)
-            for _, k in left[i1:i2]:
-                if not k:
-                    last = None  # a text slot
-                elif other[k]:
-                    other[k] -= 1
-                    self.kept[k] += 1
-                else:
-                    self.dropped[k] += 1  # the other side goes on without it: an optional group
-                    if k == last:
-                        self.repeated.add(k)
-                    last = k
-
-    def merge(self, other: Wrapper) -> None:
-        self.dropped.update(other.dropped)
-        self.kept.update(other.kept)
-        self.repeated |= other.repeated
-
-    def expression(self) -> str:
-        """The wrapper as text: optional groups with ``?``, repeated ones with ``+?``, the slot as #TEXT."""
-        groups = sorted(k for k, n in self.dropped.items() if n > self.kept[k])
-        return "(" + " ".join(f"({k}){'+' if k in self.repeated else ''}?" for k in groups) + " #TEXT)+"
-
-
-def _known(key: str, kind: str) -> bool:
+        if role in ("open", "turn"):
+            levels.append(([], t))
+        else:
+            levels[-1][0].append(Item(_name(t), t.kind, [t]))
+    if _WORD.search(text, at):
+        levels[-1][0].append(Item(SLOT, "slot", []))
+    while len(levels) > 1:
+        _give_up(levels)
+    return levels[0][0]
+
+
+def _give_up(levels: list[tuple[list[Item], Token | None]]) -> None:
+    """The innermost opening token never closes: it stands alone before what followed it."""
+    inner, first = levels.pop()
+    levels[-1][0].append(Item(_name(first), first.kind, [first]))
+    levels[-1][0].extend(inner)
+
+
+@dataclass
+class Group:
+    """One group of a union-free expression, what stands inside it, and how often the other witness lacked it."""
+
+    key: str
+    inner: list[Group] = field(default_factory=list)
+    dropped: int = 0
+    kept: int = 0
+    optional: bool = False
+    repeated: bool = False
+
+
+def _place(level: list[Group], key: str, at: int) -> int | None:
+    """Where a key stands in an expression that is read from ``at`` on and starts over at its end."""
+    for k in (*range(at, len(level)), *range(at)):
+        if level[k].key == key:
+            return k
+    return None
+
+
+def fold(level: list[Group], seen: list[Item], verdicts: dict[int, bool], first: bool) -> None:
+    """Align one nested stream with an expression and widen the expression to match it.
+
+    Groups that the stream passes over become optional, a group that follows itself becomes repeated, and an
+    item that the expression lacks is put in where the alignment stands, as an optional group unless the
+    stream is the first. The expression may start over, so every key stands once on its level.
+    """
+    at, last = 0, None
+    met: set[str] = set()
+    for item in seen:
+        k = level.index(last) if last is not None and last.key == item.key else _place(level, item.key, at)
+        if k is None:
+            k = at
+            level.insert(k, Group(item.key, optional=not first))
+        elif level[k] is last:
+            last.repeated = True
+        group = level[k]
+        met.add(item.key)
+        shown = [verdicts[t.start] for t in item.tokens if t.start in verdicts]
+        group.dropped += sum(shown)
+        group.kept += len(shown) - sum(shown)
+        if item.inner:
+            fold(group.inner, item.inner, verdicts, first)
+        at, last = k + 1, group
+    for group in level:
+        group.optional |= group.key not in met
+
+
+def merge(level: list[Group], other: list[Group]) -> None:
+    """Fold one expression into another: counts add up, flags hold if either has them."""
+    at = 0
+    for group in other:
+        k = _place(level, group.key, at)
+        if k is None:
+            k = at
+            level.insert(k, Group(group.key, optional=True))
+        into = level[k]
+        into.dropped, into.kept, into.optional, into.repeated = into.dropped + group.dropped, into.kept + group.kept, into.optional or group.optional, into.repeated or group.repeated
+        merge(into.inner, group.inner)
+        at = k + 1
+
+
+def expression(level: list[Group]) -> str:
+    """An expression as text: ``(key inner)`` with ``+`` for repeated and ``?`` for optional groups."""
+    out = []
+    for g in level:
+        if g.key == SLOT:
+            out.append(SLOT)
+        elif g.dropped >= g.kept:
+            out.append(f"({g.key}{' ' + expression(g.inner) if g.inner else ''}){'+' if g.repeated else ''}{'?' if g.optional else ''}")
+    return " ".join(out)
+
+
+def _prior(key: str, kind: str) -> float:
+    """Share of sightings that are formatting where no stream has shown any: by lists of known elements."""
     name = key.partition(":")[2]
     if kind == "tag":
-        return name in ELEMENTS
-    if kind == "tex":
-        return name in TEX
-    return kind in SURE and not key.endswith("@code")
+        known = name in ELEMENTS
+    elif kind == "tex":
+        known = name in TEX
+    else:
+        known = (kind in SURE or key == "brace:tex") and not key.endswith("@code")
+    return 0.95 if known else 0.4 if kind == "directive" else 0.05
 
 
 @dataclass
 class Wrappers:
-    """The wrappers of all hosts of a sample, and their common fold."""
-
-    hosts: dict[str, Wrapper]
-    common: Wrapper
-    verdicts: dict[tuple[str | None, str], bool] = field(default_factory=dict)
-
-    def is_group(self, host: str | None, t: Token) -> bool:
-        """Whether a token belongs to the template of its host."""
-        got = self.verdicts.get((host, t.key))
-        if got is None:
-            got = self.verdicts[host, t.key] = self._judge(host, t)
-        return got
-
-    def _judge(self, host: str | None, t: Token) -> bool:
-        for w in (self.hosts.get(host), self.common):
-            if w is not None and (n := w.dropped[t.key] + w.kept[t.key]) >= ENOUGH:
-                share = w.dropped[t.key] / n
-                if w is self.common or share in (0.0, 1.0):
-                    return share >= DROPPED
-        return _known(t.key, t.kind)
+    """The expressions of all hosts of a sample, that of all hosts together, and counts of keys wherever they stand."""
+
+    hosts: dict[str, list[Group]]
+    common: list[Group]
+    keys: dict[str, tuple[int, int]]
+    shown: dict[str, tuple[int, int]] = field(default_factory=dict)
+    verdicts: dict[tuple, bool] = field(default_factory=dict)
+    decided: Counter = field(default_factory=Counter)
 
     def parse(self, text: str, host: str | None) -> list[Token]:
-        """The markup tokens of a text."""
-        found = [t for t in candidates(text) if self.is_group(host, t)] if STARTS.search(text) else []
+        """The markup tokens of a text: those that the host's expression matches as groups of its template."""
+        if not STARTS.search(text):
+            return []
+        tokens = candidates(text)
+        taken: set[int] = set()
+        self._match(items(text, tokens), self.hosts.get(host or "", []), self.common, (host,), taken)
+        found = [t for t in tokens if t.start in taken]
         # Braces are markup only where a command opened them.
         if any(t.kind == "brace" for t in found):
             found = _paired_braces(text, found)
         return found
 
+    def shows(self, name: str) -> bool:
+        """Whether the arguments of a directive are text: as often as witnesses had them, on top of what is known of it."""
+        yes, n = self.shown.get(name, (0, 0))
+        return yes + WEIGHT * (name.removeprefix("end_") not in SILENT) >= DROPPED * (n + WEIGHT)
+
+    def _match(self, seen: list[Item], own: list[Group], common: list[Group], where: tuple, taken: set[int]) -> None:
+        """Read a nested stream along the expressions; ``where`` is the way from the host to the level."""
+        at = also = 0
+        for item in seen:
+            if item.key == SLOT:
+                continue
+            k, m = _place(own, item.key, at), _place(common, item.key, also)
+            at, also = at if k is None else k + 1, also if m is None else m + 1
+            mine, every = None if k is None else own[k], None if m is None else common[m]
+            here = (*where, item.key)
+            verdict = self.verdicts.get(here)
+            if verdict is None:
+                verdict = self.verdicts[here] = self._judge(item, mine, every)
+            if verdict:
+                taken.update(t.start for t in item.tokens)
+            if item.inner:
+                self._match(item.inner, mine.inner if mine else [], every.inner if every else [], here, taken)
+
+    def _judge(self, item: Item, mine: Group | None, every: Group | None) -> bool:
+        """Whether a group belongs to the template: each level's counts on top of ``WEIGHT`` sightings of the wider one."""
+        share, by = _prior(item.key, item.kind), "lists"
+        d, n = self.keys.get(item.key, (0, 0))
+        for name, lost, kept in (("keys", d, n - d), ("common", every.dropped if every else 0, every.kept if every else 0), ("host", mine.dropped if mine else 0, mine.kept if mine else 0)):
+            if lost + kept:
+                share, by = (lost + WEIGHT * share) / (lost + kept + WEIGHT), name
+        self.decided[by] += 1
+        return share >= DROPPED
+
 
 def _paired_braces(text: str, found: list[Token]) -> list[Token]:
     out: list[Token] = []
@@ -244,22 +388,56 @@ def _paired_braces(text: str, found: list[Token]) -> list[Token]:
     return out
 
 
-def fit(rows: list[tuple[str | None, str, str]]) -> Wrappers:
-    """Wrappers from (host, source text, other witness) rows."""
-    hosts: dict[str, Wrapper] = defaultdict(Wrapper)
-    for host, source, witness in rows:
-        if not STARTS.search(source):
-            continue
-        left = stream(source)
-        if any(k for _, k in left) and len(left) <= FIT_TOKENS:
-            hosts[host or ""].fold(left, stream(witness))
-    common = Wrapper()
-    for w in hosts.values():
-        common.merge(w)
-    return Wrappers(dict(hosts), common)
+def _labels(text: str, tokens: list[Token], witness: str) -> dict[int, bool]:
+    """Start of every token to whether the other witness goes on without it, from the aligned streams of both."""
+    left: list[tuple[str, int | None]] = []
+    at = 0
+    for t in tokens:
+        left += [(w.casefold(), None) for w in _WORD.findall(skeleton(text[at : t.start]))]
+        left.append((t.key, t.start))
+        at = t.end
+    left += [(w.casefold(), None) for w in _WORD.findall(skeleton(text[at:]))]
+    right = stream(witness)
+    out: dict[int, bool] = {}
+    for op, i1, i2, j1, j2 in SequenceMatcher(None, [x for x, _ in left], [x for x, _ in right], autojunk=False).get_opcodes():
+        other = Counter(k for _, k in right[j1:j2] if k)
+        for key, start in left[i1:i2]:
+            if start is None:
+                continue
+            out[start] = op != "equal" and not other[key]
+            other[key] -= 1
+    return out
 
 
-_HEAD_TAG = re.compile(r"</?h[1-6]\b", re.I)
+def fit(rows: list[tuple[str | None, str, str | None]]) -> Wrappers:
+    """Wrappers from (host, source text, other witness or None) rows: the streams of a host are folded one after the other."""
+    hosts: dict[str, list[Group]] = {}
+    keys: Counter = Counter()
+    lost: Counter = Counter()
+    visible: Counter = Counter()
+    lines: Counter = Counter()
+    for host, source, witness in rows:
+        if not STARTS.search(source) or not (tokens := candidates(source)):
+            continue
+        labels = _labels(source, tokens, witness) if witness is not None and len(tokens) <= FIT_TOKENS else {}
+        first = (host or "") not in hosts
+        fold(hosts.setdefault(host or "", []), items(source, tokens), labels, first)
+        if labels and any(t.kind == "directive" for t in tokens):
+            other = f" {' '.join(w.casefold() for w in _WORD.findall(skeleton(witness)))} "
+            for t in tokens:
+                end = source.find("\n", t.end)
+                rest = [w.casefold() for w in _WORD.findall(skeleton(source[t.end : end if end >= 0 else len(source)]))]
+                if t.kind == "directive" and rest:
+                    visible[t.key.partition(":")[2]] += f" {' '.join(rest)} " in other
+                    lines[t.key.partition(":")[2]] += 1
+        for t in tokens:
+            if t.start in labels:
+                keys[_name(t)] += 1
+                lost[_name(t)] += labels[t.start]
+    common: list[Group] = []
+    for host in sorted(hosts):
+        merge(common, hosts[host])
+    return Wrappers(hosts, common, {k: (lost[k], n) for k, n in keys.items()}, {k: (visible[k], n) for k, n in lines.items()})
 
 
 def clean(text: str, host: str | None, wrappers: Wrappers) -> str:
@@ -267,7 +445,7 @@ def clean(text: str, host: str | None, wrappers: Wrappers) -> str:
     found = wrappers.parse(text, host)
     if not found:
         return text
-    return _tidy("".join(out for _, _, out, _ in _pieces(text, found)))
+    return _tidy("".join(out for _, _, out, _ in _pieces(text, found, wrappers.shows)))
 
 
 def clean_span(text: str, pieces: list[tuple[int, int, str, bool]] | None, start: int, end: int) -> str:
@@ -295,7 +473,12 @@ def _tidy(text: str) -> str:
     return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip("\n")
 
 
-def _pieces(text: str, found: list[Token]) -> list[tuple[int, int, str, bool]]:
+_FRAC = re.compile(r"\\d?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}")
+#: Directives whose arguments control the typesetter and are no text, unless witnesses show them (fixed values).
+SILENT = frozenset("c comment cindex index vindex findex kindex table itemize enumerate include insert page need sp space center font device nopara para tabs set setq vmode lisp example format group block bye end_table".split())
+
+
+def _pieces(text: str, found: list[Token], shows: Callable[[str], bool] = lambda name: name.removeprefix("end_") not in SILENT) -> list[tuple[int, int, str, bool]]:
     """The text in order as (start, end, what is left of it, whether it is markup)."""
     out: list[tuple[int, int, str, bool]] = []
     at = 0
@@ -305,10 +488,21 @@ def _pieces(text: str, found: list[Token]) -> list[tuple[int, int, str, bool]]:
         if at < t.start:
             out.append((at, t.start, text[at : t.start], False))
         raw = text[t.start : t.end]
-        plain = _plain(raw, t)
         at = t.end
-        if t.kind == "directive" and not plain.startswith(("#", "-")):
-            at = max(at, text.find("\n", at) if "\n" in text[at:] else len(text))  # its arguments are no text
+        if t.key in ("tex:frac", "tex:dfrac") and (m := _FRAC.match(text, t.start)):
+            at = m.end()
+            out.append((t.start, at, "/".join(x if x.isalnum() else f"({x})" for x in m.groups()), True))
+            continue
+        plain = _plain(raw, t)
+        # Blocks start on a line of their own.
+        if plain.startswith("\n") and not plain.strip("\n") and (not t.start or text[t.start - 1] == "\n"):
+            plain = ""
+        elif t.kind == "tag" and plain.startswith(("- ", "#")) and t.start and text[t.start - 1] != "\n":
+            plain = "\n" + plain
+        name = t.key.partition(":")[2]
+        if t.kind == "directive" and not shows(name):
+            end = text.find("\n", at)
+            at = len(text) if end < 0 else end
         elif t.kind == "directive" or t.kind == "brace" and raw.startswith("{\\") or t.kind == "tex" and not raw.endswith("}") and not plain:
             at += text[at : at + 1] == " "
         elif raw == "\x16(" and (end := text.find(")", at)) >= 0 and not any(at <= u.start < end for u in found):
@@ -321,55 +515,72 @@ def _pieces(text: str, found: list[Token]) -> list[tuple[int, int, str, bool]]:
     return out
 
 
+#: Depth of headings by command, directive and element (fixed values).
+DEPTH = {"chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 5, "title": 1, "h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6}
+TEX_SIGNS = {"leq": "≤", "le": "≤", "geq": "≥", "ge": "≥", "neq": "≠", "ne": "≠", "times": "×", "cdot": "·"}
+
+
 def _plain(raw: str, t: Token) -> str:
+    """What is left of a markup token: heading marks, item marks, code fences, signs, visible arguments."""
     if t.kind == "entity":
         return html.unescape(html.unescape(raw))
     name = t.key.partition(":")[2]
     if t.kind == "tag":
+        closing = raw.startswith("</")
         if name == "li":
-            return "" if raw.startswith("</") else "- "
-        if name in ("pre", "syntaxhighlight", "nowiki"):
+            return "" if closing else "- "
+        if name in ("pre", "syntaxhighlight"):
             return "\n```\n"
         if name == "math":
             return "$"
-        if _HEAD_TAG.match(raw):
-            return "" if raw.startswith("</") else "# "
-        return "\n" if name in ("br", "p", "div", "tr", "ul", "ol") else ""
+        if name in DEPTH:
+            return "\n" if closing else "#" * DEPTH[name] + " "
+        if name in ("sub", "sup"):
+            return "}" if closing else "_{" if name == "sub" else "^{"
+        if name in ("td", "th"):
+            return "\t" if closing else ""
+        return "\n" if name in ("br", "p", "div", "tr", "ul", "ol", "dl", "dt", "dd", "table", "hr", "blockquote", "section", "article") else ""
     if t.kind == "tex":
         if name in ("begin", "end"):
             return "```" if "verbatim" in raw or "lisp" in raw else "$$" if "equation" in raw or "math" in raw else ""
-        if name in ("chapter", "section", "subsection", "subsubsection"):
-            return "# " + _argument(raw)
+        if name in DEPTH:
+            return "#" * DEPTH[name] + " " + _argument(raw)
         if name == "item":
             return "- "
-        return "" if name in ("index", "label", "cite", "ref") else {"leq": "≤", "le": "≤", "geq": "≥", "ge": "≥", "neq": "≠", "ne": "≠", "times": "×"}.get(name, _argument(raw))
+        return "" if name in ("index", "label", "cite", "ref") else TEX_SIGNS.get(name, _argument(raw))
     if t.kind == "directive":
-        return "# " if name in ("chapter", "section", "subsection") else "- " if name == "item" else "```" if name in ("lisp", "end_lisp") else ""
+        return "#" * DEPTH[name] + " " if name in DEPTH else "- " if name in ("item", "kitem", "xitem") else "```" if name in ("lisp", "end_lisp", "example", "end_example") else ""
     if t.kind == "texsign":
         return {"\\[": "$$", "\\]": "$$", "~": " "}.get(raw, raw[1:] if len(raw) > 1 else " ")
     if t.kind == "math":
         return raw
-    if t.kind in ("heading", "wikihead", "textile"):
-        return "# " if t.start == 0 or raw[0] in "#=h" and not raw.startswith(" ") and not raw.endswith("\n") and t.kind != "wikihead" else ""
+    if t.kind == "textile":
+        return "#" * int(raw[1]) + " " if raw[0] == "h" else ""
+    if t.kind == "heading":
+        return raw.strip() + " " if not raw.startswith(" ") or raw.endswith(" ") else ""
+    if t.kind == "wikihead":
+        return "#" * len(raw.strip()) if t.opens else ""
     if t.kind == "fence":
         return "```"
     return "- " if t.kind == "bullet" else ""
 
 
 def _argument(raw: str) -> str:
+    """The argument of a command, its escaped signs resolved."""
     a, b = raw.find("{"), raw.rfind("}")
-    return raw[a + 1 : b] if 0 <= a < b else ""
+    return re.sub(r"\\([&%$#_{}])", r"\1", raw[a + 1 : b]) if 0 <= a < b else ""
 
 
 def fitted(regions: DataFrame, *, sample_regions: int = SAMPLE_REGIONS) -> Wrappers:
     """Wrappers of at most ``sample_regions`` regions with two witnesses, those of the lowest id hash."""
-    both = regions.select("id", "document_id", "source_text", F.coalesce("canonical_text", "ocr_text").alias("other")).where("source_text is not null and other is not null")
+    # The recognised text never held formatting; a reviewer's text can be a copy of the source.
+    both = regions.select("id", "document_id", "source_text", F.coalesce("ocr_text", "canonical_text").alias("other")).where("source_text is not null")
     rows = bounded_sample(both, ["id"], sample_regions).select("document_id", "source_text", "other").collect()
     return fit([(r[0], r[1], r[2]) for r in rows])
 
 
 def _shared(df: DataFrame, wrappers: Wrappers):
-    return df.sparkSession.sparkContext.broadcast((wrappers.hosts, wrappers.common))
+    return df.sparkSession.sparkContext.broadcast((wrappers.hosts, wrappers.common, wrappers.keys, wrappers.shown))
 
 
 def marked_regions(regions: DataFrame, wrappers: Wrappers) -> DataFrame:
@@ -451,7 +662,7 @@ def cleaned_selectors(selectors: DataFrame, sources: DataFrame, wrappers: Wrappe
             for host, text, ids, firsts, lasts in zip(pdf["document_id"], pdf["text"], pdf["ids"], pdf["firsts"], pdf["lasts"]):
                 starts = [0, *(m.end() for m in re.finditer("\n", text))] if text is not None else []
                 tokens = own.parse(text, host) if text else []
-                pieces = _pieces(text, tokens) if tokens else None
+                pieces = _pieces(text, tokens, own.shows) if tokens else None
                 rows = []
                 for key, a, b in zip(ids, firsts, lasts):
                     there = 1 <= a <= b and a <= len(starts)

@@ -25,16 +25,43 @@ def test_wrappers():
         assert w.parse(m, "host") and w.parse(m, None), m
     for c in CLEAN:
         assert not w.parse(c, "host"), c
-    assert "#TEXT" in w.common.expression() and "(entity)" in w.common.expression()
+    assert "#TEXT" in M.expression(w.common) and "(entity)?" in M.expression(w.common)
+
+
+def test_expressions_have_order_nesting_and_repeats():
+    texts = ["<ul><li>a</li><li>b</li></ul>", "<b>x</b> <ul><li>c</li></ul>", "<ul><li><b>d</b></li></ul> <i>e</i>"]
+    w = M.fit([("h", t, " ".join(M.re.findall(r">([a-z])<", t))) for t in texts])
+    assert M.expression(w.hosts["h"]) == "(tag:b #TEXT)? (tag:ul (tag:li (tag:b #TEXT)? #TEXT)+) (tag:i #TEXT)?"
+    # A text without another witness shows order, but no verdict.
+    w = M.fit([("h", "<zz>a</zz>", "a"), ("h", "<zz>a</zz><yy>b</yy>", None)])
+    assert [g.key for g in w.hosts["h"]] == ["tag:zz", "tag:yy"] and w.hosts["h"][1].dropped == 0
+
+
+def test_wider_levels_decide_where_a_host_shows_little():
+    rows = [(f"h{k}", f"a .{k} <zz>b</zz>", f"a .{k} b") for k in range(9)] + [("own", "<zz>b</zz>", "<zz>b</zz>")] * 20
+    w = M.fit(rows)
+    assert w.parse("<zz>q</zz>", "h1") and not w.parse("<zz>q</zz>", "own")
+    assert not w.parse("<other>q</other>", "h1") and w.parse("<em>q</em>", "h1")
+
+
+def test_long_tokens():
+    w = M.fit(pairs())
+    long = "word " * 60
+    assert M.clean(f"x [[{long}|shown]] y", None, w) == "x shown y"
+    assert M.clean(f"a \\emph{{{long}}} b", None, w).split() == ["a", *long.split(), "b"]
 
 
 def test_structure_is_kept():
     w = M.fit(pairs())
-    assert M.clean("<h2>Head</h2>\n<ul><li>one</li>\n<li>two</li></ul>", None, w).split("\n") == ["# Head", "", "- one", "- two"]
+    assert M.clean("<h2>Head</h2>\n<ul><li>one</li>\n<li>two</li></ul>", None, w).split("\n") == ["## Head", "", "- one", "- two"]
     assert M.clean("\\begin{verbatim}\n(a)\n\\end{verbatim}", None, w) == "```\n(a)\n```"
-    assert M.clean(".section Head\ntext\n.sp 1\nmore", None, w).split("\n") == ["# Head", "text", "", "more"]
+    assert M.clean(".section Head\ntext\n.sp 1\nmore", None, w).split("\n") == ["## Head", "text", "", "more"]
     assert M.clean("a &lt; b \\leq c", None, w) == "a < b ≤ c"
     assert M.clean("plain", None, w) == "plain"
+    assert M.clean("<li>x</li><li>y</li>", None, w) == "- x\n- y"
+    assert M.clean("<tr><td>a</td><td>b</td></tr>", None, w).split("\t")[:2] == ["a", "b"]
+    assert M.clean("$x = \\frac{1}{4}$ and \\frac{a+b}{c} \\leq d", None, w) == "$x = 1/4$ and (a+b)/c ≤ d"
+    assert M.clean("=== Low ===\nt", None, w) == "### Low\nt" and M.clean("\\subsection{A \\& b}\nt", None, w) == "### A & b\nt"
 
 
 def test_rows(spark):
@@ -57,7 +84,7 @@ def test_spans_are_cleaned(spark):
     text = ".section Head\nplain\n\\begin{verbatim}\n(a &optional b)\n\\end{verbatim}\nsee <!-- one\ntwo --> x &amp; y\nlast <b>x</b>"
     sources = spark.createDataFrame([("p", "host", text), ("q", "host", None), ("r", "host", "no mark\n")], "source_path string, document_id string, text string")
     want = {
-        "s1": ([1, 2], "p", "# Head\nplain"), "s2": ([3, 5], "p", "```\n(a &optional b)\n```"), "s3": ([4, 4], "p", "(a &optional b)"), "s4": ([8, 99], "p", "last x"), "s5": (None, "p", None), "s6": ([5, 2], "p", None),
+        "s1": ([1, 2], "p", "## Head\nplain"), "s2": ([3, 5], "p", "```\n(a &optional b)\n```"), "s3": ([4, 4], "p", "(a &optional b)"), "s4": ([8, 99], "p", "last x"), "s5": (None, "p", None), "s6": ([5, 2], "p", None),
         "s7": ([1, 2], "q", None), "s8": ([1, 1], "gone", None), "s9": ([7, 7], "p", " x & y"), "s10": ([6, 6], "p", "see"), "s11": ([50, 60], "p", None), "s12": ([1, 1], "r", "no mark"), "s13": ([2, 2], "r", ""), "s14": ([], "p", None), "s15": ([1, 1], None, None),
     }
     rows = [(k, p, s) for k, (s, p, _) in want.items()]

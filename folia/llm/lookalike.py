@@ -7,8 +7,10 @@ makes the *lattice* of a word: each place allows all members of its class. A Vit
 lattice finds the members that go together best, by character bigrams of the corpus and a price for
 every change of script inside a word, so a Russian word comes out in Cyrillic and an English one in Latin.
 
-The lattice depends on the classes alone. Texts that look the same have the same lattice, hence the same
-form; texts of different classes cannot meet, because the search only chooses inside classes.
+Signs of a class are drawn alike everywhere, so their lattice depends on the class alone, and texts that
+differ in nothing else have the same form. Signs that are only nearly drawn like a letter keep their own
+place in the lattice beside the letter: the search reads them as the letter where script and neighbours make
+that the better word (an Armenian sign inside a Latin word), and leaves them where they are at home.
 
 Defined results: null stays null, empty stays empty; repeated rows give one row each in ``normalized``
 and one row per id in ``same_look``; a tie goes to the first member in class order; extra columns are
@@ -88,6 +90,50 @@ Z Ζ
 - ‐ ‑ ‒ ⁃ −
 """
 
+#: Signs of scripts that are drawn nearly like a letter: it, then what it may stand for (fixed values).
+NEARLY = """
+ո n
+ց g
+հ h
+օ o
+յ j
+ѡ w
+ⲟ o
+ⲣ p
+ⲥ c
+Ⲁ A
+Ⲃ B
+Ⲏ H
+Ⲓ I
+Ⲕ K
+Ⲙ M
+Ⲛ N
+Ⲟ O
+Ⲣ P
+Ⲥ C
+Ⲧ T
+Ⲭ X
+Ꭰ D
+Ꭱ R
+Ꭲ T
+Ꭺ A
+Ꭻ J
+Ꭼ E
+Ꮃ W
+Ꮇ M
+Ꮋ H
+Ꮐ G
+Ꮓ Z
+Ꮪ S
+Ꮮ L
+Ꮯ C
+Ꮲ P
+Ꮶ K
+Ꮩ V
+"""
+#: Log-price of reading such a sign as the letter; the letters around it decide whether that is worth it.
+REREAD = -3.0
+
 #: Decompositions that change the look of a sign (fixed values).
 RAISED = ("<super>", "<sub>", "<fraction>", "<circle>", "<square>", "<vertical>")
 #: Signs without a look of their own beside the format category (fixed values).
@@ -95,6 +141,7 @@ BLANK_SIGNS = "͏ᅟᅠ឴឵᠋᠌᠍ㅤﾠ"
 
 REPRESENTATIVE = {ord(x): line[0] for line in CLASSES.split("\n") if line for x in line.split(" ")[1:]}
 MEMBERS = {line[0]: tuple(line.split(" ")) for line in CLASSES.split("\n") if line}
+NEAR = {line[0]: tuple(line.split(" ")[1:]) for line in NEARLY.split("\n") if line}
 
 
 class _Fold(dict):
@@ -139,7 +186,7 @@ def skeleton(text: str) -> str:
 def _script(c: str) -> str:
     if not c.isalpha():
         return ""
-    return "L" if c < "Ͱ" else "G" if c < "Ѐ" else "C" if c < "԰" else "o"
+    return "L" if c < "Ͱ" else "G" if c < "Ѐ" else "C" if c < "԰" else "A" if c < "\u0590" else "K" if "Ⲁ" <= c <= "\u2cff" else "Ch" if "Ꭰ" <= c <= "\u13ff" else "o"
 
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -166,8 +213,9 @@ class Speller:
             paths = {"": (0.0, "")}
             for c in skeleton_word:
                 step = {}
-                for y in MEMBERS.get(c, (c,)):
-                    step[y] = max(((s + self._step(x, y), p + y) for x, (s, p) in paths.items()), key=lambda b: b[0])
+                for y in (*MEMBERS.get(c, (c,)), *(m for r in NEAR.get(c, ()) for m in MEMBERS.get(r, (r,)))):
+                    price = REREAD if c in NEAR and y != c else 0.0
+                    step[y] = max(((s + self._step(x, y) + price, p + y) for x, (s, p) in paths.items()), key=lambda b: b[0])
                 paths = step
             got = max(paths.values(), key=lambda b: b[0])[1]
             if len(self.known) < 100_000:
@@ -212,6 +260,8 @@ def normalized(df: DataFrame, *, id_col: str, text_cols: list[str], sample_texts
 def same_look(df: DataFrame, *, id_col: str = "id", left: str = "source_text", right: str = "ocr_text", sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
     """Ids of rows whose two texts are unequal but look the same.
 
+    Two texts look the same if the best readings of their lattices are equal.
+
     Unequal texts of plain ASCII without tabs and carriage returns differ in look, whatever the search says:
     no class holds two of those signs. Such rows are settled in the scan.
     """

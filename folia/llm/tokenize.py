@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from folia.functions.frames import frame
 
 #: Texts up to this many characters are encoded in one piece.
-LEAF_CHARS = 16_384
+LEAF_CHARS = 1_024
 #: Texts above this many characters are spread over tasks.
 SPREAD_CHARS = 1 << 20
 #: Runs without a split that have more bytes than this are encoded in halves.

@@ -27,3 +27,21 @@ def test_rows(spark):
     n = {r.id: r for r in K.normalized(df, id_col="id", text_cols=["source_text", "ocr_text"]).collect()}
     assert n["n1"].source_text is None and n["z"].ocr_text == ""
     assert K.same_look(df.where("false")).collect() == []
+
+
+def test_scores_decide_nearly_alike_signs():
+    """Signs that no class holds, put into words that the bigrams were not counted on."""
+    words = "manual reading window command number operation region history shape angle garden hundred holding young journey opening".split()
+    spell = K.Speller(K.fit(words))
+    back = {v[0]: k for k, v in K.NEAR.items() if k not in K.REPRESENTATIVE and ord(k) not in K.REPRESENTATIVE}
+    changed = n = 0
+    for w in "hanging change anyhow gathering nothing enough jogging".split():
+        for i, c in enumerate(w):
+            if c in back:
+                odd = w[:i] + back[c] + w[i + 1 :]
+                n += 1
+                changed += spell.form(odd) == spell.form(w)
+    assert n > 20 and changed / n > 0.9
+    home = ["հայոց", "որոնց"]
+    spell = K.Speller(K.fit(words + home * 5))
+    assert [spell.form(w) for w in home] == home and spell.form("nո") == "nn"

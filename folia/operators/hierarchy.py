@@ -33,6 +33,8 @@ from folia.plans.lineage import Cuts
 #: Rows from which the targets of heavy keys are broadcast, and how many such keys there can be at most.
 HEAVY_ROWS, HEAVY_KEYS = 200_000, 500
 #: Rows that are left of a job when one task finishes it; the rounds go on above.
+TAIL_ROWS = 20_000
+#: Rows that are left of a job when one task finishes it; the rounds go on above.
 
 #: Places of one block of the walk that puts paths together.
 BLOCK_ROWS = 50_000

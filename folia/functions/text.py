@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
-def ascii_only(c: Column) -> Column:
-    """Every code point beyond ASCII as one question mark, so that lengths stay comparable across engines."""
-    return F.regexp_replace(c, r"[^\x00-\x7F]", "?")
-
-
 def prose_signature(c: Column) -> Column:
     """White space collapsed to single blanks and trimmed."""
     return F.trim(F.regexp_replace(c, SPACE + "+", " "))
@@ -26,7 +21,7 @@ def words(c: Column) -> Column:
 
 def code_signature(c: Column) -> Column:
     """Lines without leading blanks and tabs, line ends kept."""
-    return F.regexp_replace(c, r"(?m)^[ \t]+", "")
+    return F.regexp_replace(c, r"(?md)^[ \t]+", "")
 
 
 def similarity_milli(a: Column, b: Column) -> Column:

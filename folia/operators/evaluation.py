@@ -7,22 +7,32 @@ as an empty text, which makes the join a left join, and extra predictions an ant
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import text as T
 
+#: Names of engines that one evaluation takes at most.
+MAX_ENGINES = 1_000
 
-def current_rows(df: DataFrame, key: str, order: str) -> DataFrame:
+
+def current_rows(df: DataFrame, key: str, order: Column) -> DataFrame:
     """One row per key, that of the greatest ``order``; partial aggregation, no window sort."""
     rest = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r")).select(key, "_r.*")
+    return df.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(key, "_r.*")
+
+
+def _for_each_engine(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Every truth row once for each engine: the distinct names, counted in one job, are an array in the row."""
+    names = sorted(r.engine for r in predictions.select("engine").distinct().limit(MAX_ENGINES + 1).collect())
+    if len(names) > MAX_ENGINES:
+        raise ValueError(f"more than {MAX_ENGINES} engines")
+    return truth.select(F.explode(F.array(*map(F.lit, names)).cast("array<string>")).alias("engine"), *truth.columns)
 
 
 def paired(truth: DataFrame, predictions: DataFrame) -> DataFrame:
     """truth(region_id, kind, text) left-joined to predictions(engine, region_id, text) for every engine."""
-    engines = predictions.select("engine").distinct()
-    wanted = truth.crossJoin(F.broadcast(engines))  # engines are a handful of names, not data
+    wanted = _for_each_engine(truth, predictions)
     p = predictions.select("engine", "region_id", F.col("text").alias("predicted"))
     return wanted.join(p, ["engine", "region_id"], "left").withColumn("predicted", F.coalesce("predicted", F.lit("")))
 
@@ -40,8 +50,7 @@ def character_errors(pairs: DataFrame, *by: str) -> DataFrame:
 
 def omissions(truth: DataFrame, predictions: DataFrame, *by: str) -> DataFrame:
     """Truth regions that an engine lacks: their number and characters by group."""
-    engines = predictions.select("engine").distinct()
-    wanted = truth.crossJoin(F.broadcast(engines))
+    wanted = _for_each_engine(truth, predictions)
     lost = wanted.join(predictions.select("engine", "region_id"), ["engine", "region_id"], "left_anti")
     return lost.groupBy("engine", *by).agg(F.count(F.lit(1)).alias("omitted"), F.sum(F.length("text").cast("bigint")).alias("omitted_characters"))
 
@@ -74,11 +83,13 @@ def projection_matches(pairs: DataFrame) -> DataFrame:
 
 
 def macro_f1(truth: DataFrame, found: DataFrame) -> DataFrame:
-    """Per label precision, recall and F1 over distinct (region_id, kind) sets; the macro mean is their average."""
+    """Per label tp, fp, fn and F1 over distinct (region_id, kind) sets; the row without a label holds the mean F1."""
     t = truth.select("region_id", "kind").distinct().withColumn("in_truth", F.lit(1))
     p = found.select("region_id", "kind").distinct().withColumn("in_found", F.lit(1))
     both = t.join(p, ["region_id", "kind"], "full")
     c = both.groupBy("kind").agg(
         F.count_if(F.col("in_truth").isNotNull() & F.col("in_found").isNotNull()).alias("tp"), F.count_if(F.col("in_truth").isNull()).alias("fp"), F.count_if(F.col("in_found").isNull()).alias("fn")
     )
-    return c.withColumn("f1", F.when(2 * F.col("tp") + F.col("fp") + F.col("fn") > 0, 2.0 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))).otherwise(F.lit(0.0)))
+    each = c.withColumn("f1", F.when(2 * F.col("tp") + F.col("fp") + F.col("fn") > 0, 2.0 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))).otherwise(F.lit(0.0)))
+    mean = each.agg(F.lit(None).cast("string").alias("kind"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"), F.avg("f1").alias("f1"))
+    return each.unionByName(mean)

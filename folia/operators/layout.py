@@ -77,7 +77,7 @@ def reading_edges(regions: DataFrame, *, page: str = "page_id") -> DataFrame:
     return e.where("target_id is not null").select("page_id", "source_id", "target_id", ambiguous.alias("ambiguous"))
 
 
-def order_accuracy(regions: DataFrame, *, page: str = "page_id", truth: tuple[str, ...] = ("x0", "y0", "id"), predicted: tuple[str, ...] = ("y0", "x0", "id"), bits: int = 24) -> DataFrame:
+def order_accuracy(regions: DataFrame, *, page: str = "page_id", truth: tuple[str, ...] = ("x0", "y0", "id"), predicted: tuple[str, ...] = ("y0", "x0", "id")) -> DataFrame:
     """(page_id, correct_pairs, total_pairs) of all pairs of a page, counted in n log n.
 
     A pair is wrong if the ranks invert. At the highest bit in which two predicted ranks differ, the larger
@@ -86,13 +86,12 @@ def order_accuracy(regions: DataFrame, *, page: str = "page_id", truth: tuple[st
     """
     t = F.row_number().over(Window.partitionBy(page).orderBy(*truth)) - 1
     p = F.row_number().over(Window.partitionBy(page).orderBy(*predicted)) - 1
-    r = regions.select(F.col(page).alias("page_id"), t.alias("t"), p.alias("p"))
-    sizes = r.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
-    levels = F.sequence(F.lit(0), F.lit(bits - 1))
-    each = r.select("page_id", "t", "p", F.explode(levels).alias("bit"))
-    each = each.select("page_id", "t", "bit", F.expr("shiftright(p, bit + 1)").alias("prefix"), F.expr("shiftright(p, bit) & 1").alias("one"))
+    n = F.count(F.lit(1)).over(Window.partitionBy(page))
+    r = regions.select(F.col(page).alias("page_id"), t.alias("t"), p.alias("p"), n.alias("n"))
+    sizes = r.select("page_id", "n").distinct()
     # Above the page's own size all prefixes and bits are zero: such levels hold no inversion.
-    each = each.join(sizes, "page_id").where("shiftleft(1L, bit) < n")
+    each = r.where("n > 1").select("page_id", "t", "p", F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("n") - 1)) - 1)).alias("bit"))
+    each = each.select("page_id", "t", "bit", F.expr("shiftright(p, bit + 1)").alias("prefix"), F.expr("shiftright(p, bit) & 1").alias("one"))
     w = Window.partitionBy("page_id", "bit", "prefix").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inversions = each.withColumn("ones", F.sum("one").over(w)).where("one = 0").groupBy("page_id").agg(F.sum("ones").alias("wrong"))
     total = (F.col("n") * (F.col("n") - 1) / 2).cast("bigint")

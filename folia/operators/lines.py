@@ -9,14 +9,6 @@ from folia.functions import text as T
 
 # Patterns whose results must equal the engine that is reproduced; word borders are spelled out.
 BORDER, END = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
-HIERARCHY = r"^\s*([Pp][Aa][Rr][Tt]|[Cc][Hh][Aa][Pp][Tt][Ee][Rr]|[Ss][Ee][Cc][Tt][Ii][Oo][Nn])\s+[A-Za-z0-9.]+" + END
-CAPTION = r"^\s*([Ff][Ii][Gg]([Uu][Rr][Ee])?|[Tt][Aa][Bb][Ll][Ee])\s+[0-9]+"
-LIST = r"^\s*([-*•]|[0-9]+[.)]|[A-Za-z][.)])\s+"
-NOTE = r"^\s*[Nn][Oo][Tt][Ee]\s"
-TERMINAL = r"^\s*([$>#]|[A-Za-z0-9_.-]+>)\s"
-INDEX = r"^.+,\s*[0-9]+(\s*,\s*[0-9]+)*\s*$"
-XREF = BORDER + r"([Ss][Ee][Ee]|[Cc][Hh][Aa][Pp][Tt][Ee][Rr]|[Ss][Ee][Cc][Tt][Ii][Oo][Nn]|[Aa][Pp][Pp][Ee][Nn][Dd][Ii][Xx]|[Ff][Ii][Gg][Uu][Rr][Ee]|[Tt][Aa][Bb][Ll][Ee])\s+[A-Za-z0-9.]+"
-MATH = r"[=≈≠≤≥±×÷]|" + BORDER + r"(sin|cos|log|lim)" + END + r"|\$[^$]+\$"
 IDENTIFIER = BORDER + r"[A-Za-z_][A-Za-z0-9_-]*"
 NUMBER = BORDER + r"[0-9]+(\.[0-9]+)?" + END
 KEY = r":[A-Za-z]|" + BORDER + r"[A-Za-z_][A-Za-z0-9_-]*="
@@ -28,30 +20,7 @@ def document_lines(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.where("text is not null").select("doc_id", *keep, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-def semantic_kind(text: Column, physical: Column) -> Column:
-    """Kind of a region by the ordered rules: hierarchy, caption, figure, table, list, note, terminal, code, index,
-    cross-reference, formula, capitals, paragraph."""
-    rules = [
-        (text.rlike(HIERARCHY), F.lower(F.regexp_extract(text, HIERARCHY, 1))),
-        (text.rlike(CAPTION), F.lit("caption")),
-        ((physical == "figure") | F.lower(F.trim(text)).startswith("figure "), F.lit("figure")),
-        ((physical == "table") | text.contains("\t") | (F.length(text) - F.length(F.replace(text, F.lit("|"), F.lit(""))) >= 2), F.lit("table")),
-        (text.rlike(LIST), F.lit("list-item")),
-        (text.rlike(NOTE), F.lit("note")),
-        (text.rlike(TERMINAL), F.lit("terminal")),
-        ((physical == "code") | text.startswith(" ") | (text.contains("(") & text.contains(")")), F.lit("code")),
-        (text.rlike(INDEX), F.lit("index")),
-        (text.rlike(XREF), F.lit("cross-reference")),
-        (text.rlike(MATH), F.lit("math")),
-        ((F.upper(text) == text) & (F.lower(text) != text), F.lit("section")),
-    ]
-    out = F.lit("paragraph")
-    for test, kind in reversed(rules):
-        out = F.when(F.coalesce(test, F.lit(False)), kind).otherwise(out)
-    return out
-
-
-# The same rules over whole texts, in the classes and line ends of the reference: only \\n ends a line.
+# Patterns of the ordered rules, in Unicode classes; only \\n ends a line.
 _S, _NOT_S, _W = T.SPACE, r"[^\s\x1c-\x1f\x85\p{Z}]", r"[\p{L}\p{N}_]"
 _BEFORE, _AFTER = f"(?<!{_W})", f"(?!{_W})"
 WHOLE = {
@@ -67,8 +36,9 @@ WHOLE = {
 }
 
 
-def whole_kind(text: Column, physical: Column) -> Column:
-    """Kind of a region by the ordered rules of :func:`semantic_kind` over its whole text, however many lines."""
+def semantic_kind(text: Column, physical: Column) -> Column:
+    """Kind of a region by ordered rules over its whole text, however many lines: hierarchy, caption, figure, table,
+    list, note, terminal, code, index, cross-reference, formula, capitals of at most 12 words, paragraph."""
     rules = [
         (text.rlike(WHOLE["hierarchy"]), F.lower(F.regexp_extract(text, WHOLE["hierarchy"], 1))),
         (text.rlike(WHOLE["caption"]), F.lit("caption")),
@@ -95,7 +65,7 @@ def risk_codes(line: Column) -> Column:
         ("KEY_NAME", line.rlike(KEY)),
         ("EQUATION", line.rlike(EQUATION)),
         ("PUNCTUATION", line.rlike(r"\p{P}")),
-        ("SYMBOL", line.rlike(r"\p{S}")),
+        ("SYMBOL", line.rlike(r"[^\p{L}\p{N}\p{P}\p{Z}\s\x0b\x1c-\x1f\x85]")),
         ("LISP_TOKEN", line.rlike(r"[()']")),
         ("UNRESOLVED_GLYPH", line.rlike("[�□]")),
         ("UNEXPECTED_UNICODE", line.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]|[^\x00-\x7f]")),

@@ -35,40 +35,46 @@ def query(sql: str | None = None):
 
 def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per review region."""
-    return E.current_rows(table(spark, sf_dir, "project_regions"), "id", "updated_at")
+    dash = lambda c: F.coalesce(c, F.lit("-"))
+    texts = F.sha2(F.concat_ws("\x1f", dash("source_text"), dash("ocr_text"), dash("canonical_text")), 256)
+    return E.current_rows(table(spark, sf_dir, "project_regions"), "id", F.struct("updated_at", texts))
 
 
-_REG = "reg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) AS rn FROM project_regions) WHERE rn = 1)"
+_REG = "reg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, coalesce(sha256(coalesce(source_text, '-') || chr(31) || coalesce(ocr_text, '-') || chr(31) || coalesce(canonical_text, '-')), '') DESC) AS rn FROM project_regions) WHERE rn = 1)"
 
 
 def _truth(regions: DataFrame) -> DataFrame:
-    return regions.where("canonical_text is not null").select(F.col("id").alias("region_id"), "kind", "document_id", T.ascii_only(F.col("canonical_text")).alias("text"))
+    return regions.where("canonical_text is not null").select(F.col("id").alias("region_id"), "kind", "document_id", F.col("canonical_text").alias("text"))
 
 
 def _predictions(regions: DataFrame) -> DataFrame:
     engines = F.array(F.struct(F.lit("ocr").alias("engine"), F.col("ocr_text").alias("t")), F.struct(F.lit("source").alias("engine"), F.col("source_text").alias("t")))
     each = regions.select(F.col("id").alias("region_id"), F.explode(engines).alias("e")).where("e.t is not null")
-    return each.select("region_id", "e.engine", T.ascii_only(F.col("e.t")).alias("text"))
+    return each.select("region_id", "e.engine", F.col("e.t").alias("text"))
 
 
-def _pairs(spark: SparkSession, sf_dir: str, *, masked: bool = True) -> DataFrame:
-    """Truth with each engine's text, from one scan: both witnesses lie in the region's own row.
-
-    The SQL's edit distance counts bytes, so queries with SQL compare ``masked`` texts; the real texts are
-    compared by the ``_unmasked`` queries.
-    """
-    plain = T.ascii_only if masked else (lambda c: c)
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truth with each engine's text, from one scan: both witnesses lie in the region's own row."""
     regions = _regions(spark, sf_dir)
     engines = F.array(F.struct(F.lit("ocr").alias("engine"), F.col("ocr_text").alias("t")), F.struct(F.lit("source").alias("engine"), F.col("source_text").alias("t")))
-    each = regions.where("canonical_text is not null").select(F.col("id").alias("region_id"), "kind", "document_id", plain(F.col("canonical_text")).alias("text"), F.explode(engines).alias("e"))
-    return each.select("region_id", "kind", "document_id", "text", "e.engine", plain(F.coalesce("e.t", F.lit(""))).alias("predicted"))
+    each = regions.where("canonical_text is not null").select(F.col("id").alias("region_id"), "kind", "document_id", F.col("canonical_text").alias("text"), F.explode(engines).alias("e"))
+    return each.select("region_id", "kind", "document_id", "text", "e.engine", F.coalesce("e.t", F.lit("")).alias("predicted"))
+
+
+def _distance(a: str, b: str) -> str:
+    """Edit distance of code points: the SQL's own one counts bytes, so the signs of a pair are numbered by single bytes first."""
+    chars = lambda x: f"regexp_extract_all({x}, '(?s).')"
+    code = lambda x: f"array_to_string(list_transform({chars(x)}, lambda c: chr(list_position(signs, c)::INT)), '')"
+    return f"(CASE WHEN {a} = {b} THEN 0 ELSE (SELECT levenshtein({code(a)}, {code(b)}) FROM (SELECT list_distinct({chars(f'{a} || {b}')}) AS signs)) END)"
 
 
+_D = _distance("text", "predicted")
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]".replace("\\\\", "\\")
 _PAIRS = (
     _REG
-    + r""", pairs AS (SELECT id AS region_id, kind, document_id, regexp_replace(canonical_text, '[^\x00-\x7F]', '?', 'g') AS text, engine,
-    regexp_replace(coalesce(t, ''), '[^\x00-\x7F]', '?', 'g') AS predicted
-  FROM (SELECT *, 'ocr' AS engine, ocr_text AS t FROM reg UNION ALL SELECT *, 'source' AS engine, source_text AS t FROM reg) WHERE canonical_text IS NOT NULL)"""
+    + f""", pair0 AS (SELECT id AS region_id, kind, document_id, canonical_text AS text, engine, coalesce(t, '') AS predicted
+  FROM (SELECT *, 'ocr' AS engine, ocr_text AS t FROM reg UNION ALL SELECT *, 'source' AS engine, source_text AS t FROM reg) WHERE canonical_text IS NOT NULL),
+  pairs AS (SELECT *, {_D} AS distance FROM pair0)"""
 )
 
 _BOX_SELECT = "page_id, id, kind, box.x0 AS x0, box.y0 AS y0, box.x1 AS x1, box.y1 AS y1, confidence_milli, source_region_ids"
@@ -88,43 +94,38 @@ _MEET = "a.page_id = b.page_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 A
 # --- evaluation --------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {_PAIRS} SELECT engine, sum(levenshtein(text, predicted))::BIGINT AS errors, sum(length(text))::BIGINT AS reference_units, count(*) AS regions, sum(levenshtein(text, predicted)) / sum(length(text)) AS error_rate FROM pairs GROUP BY engine")
+@query(f"WITH {_PAIRS} SELECT engine, sum(distance)::BIGINT AS errors, sum(length(text))::BIGINT AS reference_units, count(*) AS regions, sum(distance) / sum(length(text)) AS error_rate FROM pairs GROUP BY engine")
 def cer_by_engine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.character_errors(_pairs(spark, sf_dir), "engine")
 
 
-@query(f"WITH {_PAIRS} SELECT engine, kind, document_id, sum(levenshtein(text, predicted))::BIGINT AS errors, sum(length(text))::BIGINT AS reference_units, count(*) AS regions FROM pairs GROUP BY GROUPING SETS ((engine, kind), (engine, document_id), (engine))")
+@query(f"WITH {_PAIRS} SELECT engine, kind, document_id, sum(distance)::BIGINT AS errors, sum(length(text))::BIGINT AS reference_units, count(*) AS regions FROM pairs GROUP BY GROUPING SETS ((engine, kind), (engine, document_id), (engine))")
 def quality_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.quality_cube(_pairs(spark, sf_dir))
 
 
 @query(f"""WITH {_REG}, e AS (SELECT id, document_id, canonical_text, 'ocr' AS engine, ocr_text AS t FROM reg UNION ALL SELECT id, document_id, canonical_text, 'source', source_text FROM reg)
-SELECT engine, document_id, count(*) AS omitted, sum(length(regexp_replace(canonical_text, '[^\\x00-\\x7F]', '?', 'g')))::BIGINT AS omitted_characters FROM e WHERE canonical_text IS NOT NULL AND t IS NULL GROUP BY engine, document_id""")
+SELECT engine, document_id, count(*) AS omitted, sum(length(canonical_text))::BIGINT AS omitted_characters FROM e WHERE canonical_text IS NOT NULL AND t IS NULL GROUP BY engine, document_id""")
 def omission_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _regions(spark, sf_dir)
     return E.omissions(_truth(r), _predictions(r), "document_id")
 
 
-@query(f"""WITH {_PAIRS}, t AS (SELECT engine, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS a, list_filter(regexp_split_to_array(predicted, '\\s+'), lambda x: x <> '') AS b FROM pairs WHERE kind = 'code')
+@query(f"""WITH {_PAIRS}, t AS (SELECT engine, list_filter(regexp_split_to_array(text, '{_SPACE}+'), lambda x: x <> '') AS a, list_filter(regexp_split_to_array(predicted, '{_SPACE}+'), lambda x: x <> '') AS b FROM pairs WHERE kind = 'code')
 SELECT engine, sum(len(a))::BIGINT AS reference_tokens, sum(len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[i] = b[i])))::BIGINT AS exact_tokens, sum(greatest(len(a) - len(b), 0))::BIGINT AS omitted_tokens, sum(greatest(len(b) - len(a), 0))::BIGINT AS extra_tokens FROM t GROUP BY engine""")
 def code_token_exactness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.code_tokens(_pairs(spark, sf_dir).where("kind = 'code'"), "engine")
 
 
-@query(f"""WITH {_REG}, p AS (SELECT id, regexp_replace(source_text, '[^\\x00-\\x7F]', '?', 'g') AS a, regexp_replace(ocr_text, '[^\\x00-\\x7F]', '?', 'g') AS b FROM reg WHERE source_text IS NOT NULL AND ocr_text IS NOT NULL)
-SELECT id, CASE WHEN greatest(length(a), length(b)) = 0 THEN 1000 ELSE (greatest(length(a), length(b)) - levenshtein(a, b)) * 1000 // greatest(length(a), length(b)) END::BIGINT AS similarity FROM p""")
+@query(f"""WITH {_REG}, p AS (SELECT id, source_text AS text, ocr_text AS predicted FROM reg WHERE source_text IS NOT NULL AND ocr_text IS NOT NULL)
+SELECT id, CASE WHEN greatest(length(text), length(predicted)) = 0 THEN 1000 ELSE (greatest(length(text), length(predicted)) - {_D}) * 1000 // greatest(length(text), length(predicted)) END::BIGINT AS similarity FROM p""")
 def text_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _similarity(_regions(spark, sf_dir), T.ascii_only)
-
-
-def _similarity(regions: DataFrame, plain) -> DataFrame:
-    r = regions.where("source_text is not null and ocr_text is not null")
-    r = r.select("id", plain(F.col("source_text")).alias("a"), plain(F.col("ocr_text")).alias("b"))
-    return r.select("id", T.similarity_milli(F.col("a"), F.col("b")).alias("similarity"))
+    r = _regions(spark, sf_dir).where("source_text is not null and ocr_text is not null")
+    return r.select("id", T.similarity_milli(F.col("source_text"), F.col("ocr_text")).alias("similarity"))
 
 
 @query(f"""WITH {_PAIRS}, m AS (SELECT CASE WHEN kind IN ('body', 'definition', 'section') THEN 'prose' WHEN kind = 'code' THEN 'code' ELSE 'exact' END AS policy, text AS a, predicted AS b FROM pairs)
-SELECT policy, count(*) AS pairs, count(*) FILTER (WHERE CASE policy WHEN 'prose' THEN trim(regexp_replace(a, '\\s+', ' ', 'g')) = trim(regexp_replace(b, '\\s+', ' ', 'g')) WHEN 'code' THEN regexp_replace(a, '(?m)^[ \\t]+', '', 'g') = regexp_replace(b, '(?m)^[ \\t]+', '', 'g') ELSE a = b END) AS matching FROM m GROUP BY policy""")
+SELECT policy, count(*) AS pairs, count(*) FILTER (WHERE CASE policy WHEN 'prose' THEN trim(regexp_replace(a, '{_SPACE}+', ' ', 'g')) = trim(regexp_replace(b, '{_SPACE}+', ' ', 'g')) WHEN 'code' THEN regexp_replace(a, '(?m)^[ \\t]+', '', 'g') = regexp_replace(b, '(?m)^[ \\t]+', '', 'g') ELSE a = b END) AS matching FROM m GROUP BY policy""")
 def projection_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.projection_matches(_pairs(spark, sf_dir))
 
@@ -136,22 +137,23 @@ def box_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.box_detection(_regions(spark, sf_dir))
 
 
-# Fixed patterns in the SQL's dialect are those of folia.operators.lines.
 _L = lines
-_KIND = f"""CASE WHEN regexp_matches(t, '{_L.HIERARCHY}') THEN lower(regexp_extract(t, '{_L.HIERARCHY}', 1)) WHEN regexp_matches(t, '{_L.CAPTION}') THEN 'caption' WHEN lower(trim(t)) LIKE 'figure %' THEN 'figure'
- WHEN k = 'table' OR contains(t, chr(9)) OR length(t) - length(replace(t, '|', '')) >= 2 THEN 'table' WHEN regexp_matches(t, '{_L.LIST}') THEN 'list-item' WHEN regexp_matches(t, '{_L.NOTE}') THEN 'note' WHEN regexp_matches(t, '{_L.TERMINAL}') THEN 'terminal'
- WHEN k = 'code' OR starts_with(t, ' ') OR (contains(t, '(') AND contains(t, ')')) THEN 'code' WHEN regexp_matches(t, '{_L.INDEX}') THEN 'index' WHEN regexp_matches(t, '{_L.XREF}') THEN 'cross-reference' WHEN regexp_matches(t, '{_L.MATH}') THEN 'math'
- WHEN upper(t) = t AND lower(t) <> t THEN 'section' ELSE 'paragraph' END"""
+# The patterns of folia.operators.lines in the SQL's dialect, which has no look-around and calls its classes otherwise.
+_WORD, _NOT_WORD = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+_KIND = f"""CASE WHEN regexp_matches(t, '(?i)^{_SPACE}*(part|chapter|section){_SPACE}+[A-Za-z0-9.]*([A-Za-z0-9]({_NOT_WORD}|$)|\\.{_WORD})') THEN lower(regexp_extract(t, '(?i)^{_SPACE}*(part|chapter|section)', 1))
+ WHEN regexp_matches(t, '(?i)^{_SPACE}*(fig(ure)?|table){_SPACE}+\\p{{Nd}}') THEN 'caption' WHEN k = 'figure' OR regexp_matches(t, '(?i)^{_SPACE}*figure (?s:.*)[^\\s\\x0b\\x1c-\\x1f\\x{{85}}\\p{{Z}}]') THEN 'figure'
+ WHEN k = 'table' OR contains(t, chr(9)) OR length(t) - length(replace(t, '|', '')) >= 2 THEN 'table' WHEN regexp_matches(t, '^{_SPACE}*([-*•]|\\p{{Nd}}+[.)]|[A-Za-z][.)]){_SPACE}') THEN 'list-item' WHEN regexp_matches(t, '(?i)^{_SPACE}*(note|\\p{{Nd}}+[.)]){_SPACE}') THEN 'note'
+ WHEN regexp_matches(t, '^{_SPACE}*([$>#]|[A-Za-z0-9_.-]+>){_SPACE}') THEN 'terminal' WHEN k = 'code' OR starts_with(t, ' ') OR (contains(t, '(') AND contains(t, ')')) THEN 'code' WHEN regexp_matches(t, '^.+,{_SPACE}*\\p{{Nd}}+({_SPACE}*,{_SPACE}*\\p{{Nd}}+)*{_SPACE}*$') THEN 'index'
+ WHEN regexp_matches(t, '(?i)(^|{_NOT_WORD})(see|chapter|section|appendix|figure|table){_SPACE}+[A-Za-z0-9.]') THEN 'cross-reference' WHEN regexp_matches(t, '[=≈≠≤≥±×÷]|(^|{_NOT_WORD})(sin|cos|log|lim)({_NOT_WORD}|$)|\\$[^$]+\\$') THEN 'math'
+ WHEN regexp_matches(t, '\\p{{Lu}}') AND NOT regexp_matches(t, '[\\p{{Ll}}\\p{{Lt}}ªº]') AND len(list_filter(regexp_split_to_array(t, '{_SPACE}+'), lambda x: x <> '')) <= 12 THEN 'section' ELSE 'paragraph' END"""
 
 
 def _kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _regions(spark, sf_dir).where("source_text is not null")
-    # The first line carries the form of a region; patterns with line ends differ between engines beyond it.
-    first = T.ascii_only(F.substring_index("source_text", "\n", 1))
-    return r.select("id", "kind", lines.semantic_kind(first, F.coalesce("kind", F.lit("unknown"))).alias("semantic_kind"))
+    return r.select("id", "kind", lines.semantic_kind(F.col("source_text"), F.coalesce("kind", F.lit("unknown"))).alias("semantic_kind"))
 
 
-_KINDS = _REG + r""", kd AS (SELECT id, kind, """ + _KIND + r""" AS semantic_kind FROM (SELECT id, kind, coalesce(kind, 'unknown') AS k, regexp_replace(split_part(source_text, chr(10), 1), '[^\x00-\x7F]', '?', 'g') AS t FROM reg WHERE source_text IS NOT NULL))"""
+_KINDS = _REG + """, kd AS (SELECT id, kind, """ + _KIND + """ AS semantic_kind FROM (SELECT id, kind, coalesce(kind, 'unknown') AS k, source_text AS t FROM reg WHERE source_text IS NOT NULL))"""
 
 
 @query(f"WITH {_KINDS} SELECT id, semantic_kind FROM kd")
@@ -160,35 +162,16 @@ def region_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_KINDS}, t AS (SELECT DISTINCT id, CASE kind WHEN 'body' THEN 'paragraph' WHEN 'list' THEN 'list-item' ELSE kind END AS kind FROM kd WHERE kind IS NOT NULL), f AS (SELECT DISTINCT id, semantic_kind AS kind FROM kd),
-b AS (SELECT coalesce(t.kind, f.kind) AS kind, t.id IS NOT NULL AS it, f.id IS NOT NULL AS if_ FROM t FULL JOIN f ON t.id = f.id AND t.kind = f.kind)
-SELECT kind, count(*) FILTER (WHERE it AND if_) AS tp, count(*) FILTER (WHERE NOT it) AS fp, count(*) FILTER (WHERE NOT if_) AS fn, 2.0::DOUBLE * count(*) FILTER (WHERE it AND if_) / (2 * count(*) FILTER (WHERE it AND if_) + count(*) FILTER (WHERE NOT it) + count(*) FILTER (WHERE NOT if_)) AS f1 FROM b GROUP BY kind""")
+b AS (SELECT coalesce(t.kind, f.kind) AS kind, t.id IS NOT NULL AS it, f.id IS NOT NULL AS if_ FROM t FULL JOIN f ON t.id = f.id AND t.kind = f.kind),
+s AS (SELECT kind, count(*) FILTER (WHERE it AND if_) AS tp, count(*) FILTER (WHERE NOT it) AS fp, count(*) FILTER (WHERE NOT if_) AS fn, 2.0::DOUBLE * count(*) FILTER (WHERE it AND if_) / (2 * count(*) FILTER (WHERE it AND if_) + count(*) FILTER (WHERE NOT it) + count(*) FILTER (WHERE NOT if_)) AS f1 FROM b GROUP BY kind)
+SELECT kind, tp, fp, fn, round(f1, 12) AS f1 FROM s UNION ALL SELECT NULL, sum(tp)::BIGINT, sum(fp)::BIGINT, sum(fn)::BIGINT, round(avg(f1), 12) FROM s""")
 def semantic_macro_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per label, and in the row without a label the unweighted mean over all labels."""
     k = _kinds(spark, sf_dir)
-    return _macro_f1(k)
-
-
-def _macro_f1(k: DataFrame) -> DataFrame:
     label = F.when(F.col("kind") == "body", "paragraph").when(F.col("kind") == "list", "list-item").otherwise(F.col("kind"))
     truth = k.where("kind is not null").select(F.col("id").alias("region_id"), label.alias("kind"))
-    return E.macro_f1(truth, k.select(F.col("id").alias("region_id"), F.col("semantic_kind").alias("kind")))
-
-
-# The two queries above say what their SQL says, of first lines; these two take the whole text and have no SQL.
-
-
-def _whole_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _regions(spark, sf_dir).where("source_text is not null")
-    return r.select("id", "kind", lines.whole_kind(F.col("source_text"), F.coalesce("kind", F.lit("unknown"))).alias("semantic_kind"))
-
-
-@query()
-def region_kind_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _whole_kinds(spark, sf_dir).select("id", "semantic_kind")
-
-
-@query()
-def semantic_macro_f1_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _macro_f1(_whole_kinds(spark, sf_dir))
+    each = E.macro_f1(truth, k.select(F.col("id").alias("region_id"), F.col("semantic_kind").alias("kind")))
+    return each.withColumn("f1", F.round("f1", 12))
 
 
 # --- lines of documents ------------------------------------------------------------------------------------
@@ -202,7 +185,7 @@ _RISK = ", ".join(
         ("KEY_NAME", f"regexp_matches(line, '{_L.KEY}')"),
         ("EQUATION", f"regexp_matches(line, '{_L.EQUATION}')"),
         ("PUNCTUATION", r"regexp_matches(line, '\p{P}')"),
-        ("SYMBOL", r"regexp_matches(line, '\p{S}')"),
+        ("SYMBOL", r"regexp_matches(line, '[^\p{L}\p{N}\p{P}\p{Z}\s\x0b\x1c-\x1f\x{85}]')"),
         ("LISP_TOKEN", r"regexp_matches(line, '[()'']')"),
         ("UNRESOLVED_GLYPH", "regexp_matches(line, '[�□]')"),
         ("UNEXPECTED_UNICODE", r"regexp_matches(line, '[\x00-\x08\x0b\x0c\x0e-\x1f]|[^\x00-\x7f]')"),
@@ -255,10 +238,10 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regions(spark, sf_dir).where("source_text is not null").select("id", lines.tagless(F.col("source_text")).alias("text"))
 
 
-@query(f"""WITH {_REG}, t AS (SELECT id, regexp_extract_all(replace(replace(lower(regexp_replace(source_text, '[^\\x00-\\x7F≤≥]', '?', 'g')), '≥', '>='), '≤', '<='), '[a-z0-9]+|>=|<=|//|\\\\\\\\|[+*/=<>^-]') AS k FROM reg WHERE source_text IS NOT NULL)
+@query(f"""WITH {_REG}, t AS (SELECT id, regexp_extract_all(replace(replace(lower(source_text), '≥', '>='), '≤', '<='), '[a-z0-9]+|>=|<=|//|\\\\\\\\|[+*/=<>^-]') AS k FROM reg WHERE source_text IS NOT NULL)
 SELECT id, len(k) AS n_tokens, CASE WHEN len(k) < 3 THEN 0 ELSE len(list_distinct(list_transform(range(1, len(k) - 1), lambda i: k[i] || chr(31) || k[i + 1] || chr(31) || k[i + 2]))) END AS n_ngrams FROM t""")
 def locator_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = T.locator_tokens(F.regexp_replace("source_text", r"[^\x00-\x7F≤≥]", "?"))
+    k = T.locator_tokens(F.col("source_text"))
     r = _regions(spark, sf_dir).where("source_text is not null").select("id", k.alias("k"))
     return r.select("id", F.size("k").cast("bigint").alias("n_tokens"), F.size(T.ngrams(F.col("k"))).cast("bigint").alias("n_ngrams"))
 
@@ -415,79 +398,36 @@ def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("id", digests.content_id("region", F.coalesce("source_text", F.lit(""))).alias("content_id"), digests.stable_id(F.col("document_id"), F.col("page_id"), F.col("id")).alias("stable_id"))
 
 
-@query(f"""WITH {_PAIRS}, s AS (SELECT engine, kind, sum(levenshtein(text, predicted))::DOUBLE AS e, sum(length(text))::DOUBLE AS n FROM pairs GROUP BY engine, kind)
-SELECT engine, kind, e::BIGINT AS errors, n::BIGINT AS units, round(CASE WHEN n > 0 THEN least((e / n + 3.8414588206941227 / (2 * n) + 1.959963984540054 * sqrt(e / n * (1 - e / n) / n + 3.8414588206941227 / (4 * n * n))) / (1 + 3.8414588206941227 / n), 1.0) ELSE 1.0 END, 9) AS upper FROM s WHERE e <= n""")
+@query(f"""WITH {_PAIRS}, s AS (SELECT engine, kind, sum(distance)::DOUBLE AS e0, sum(length(text))::DOUBLE AS n, least(sum(distance), sum(length(text)))::DOUBLE AS e FROM pairs GROUP BY engine, kind)
+SELECT engine, kind, e0::BIGINT AS errors, n::BIGINT AS units, round(CASE WHEN n > 0 THEN least((e / n + 3.8414588206941227 / (2 * n) + 1.959963984540054 * sqrt(e / n * (1 - e / n) / n + 3.8414588206941227 / (4 * n * n))) / (1 + 3.8414588206941227 / n), 1.0) ELSE 1.0 END, 9) AS upper, greatest(10000, ceil(n * 0.05))::BIGINT AS required_units FROM s""")
 def wilson_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _wilson(_pairs(spark, sf_dir))
-
-
-def _wilson(pairs: DataFrame) -> DataFrame:
-    c = E.character_errors(pairs, "engine", "kind").where("errors <= reference_units")
+    """Upper bound of the error rate by group; a group with more errors than units counts as wrong throughout."""
+    c = E.character_errors(_pairs(spark, sf_dir), "engine", "kind")
     n = F.col("reference_units").cast("double")
-    return c.select("engine", "kind", "errors", F.col("reference_units").alias("units"), F.round(selection.wilson_upper(F.col("errors").cast("double"), n), 9).alias("upper"))
+    wrong = F.least("errors", "reference_units").cast("double")
+    required = F.greatest(F.lit(10_000), F.ceil(n * 0.05)).cast("bigint")
+    return c.select("engine", "kind", "errors", F.col("reference_units").alias("units"), F.round(selection.wilson_upper(wrong, n), 9).alias("upper"), required.alias("required_units"))
 
 
 # --- alignment and graphs ----------------------------------------------------------------------------------
 
 
-@query(f"WITH {_PAIRS}, s AS (SELECT engine, sum(levenshtein(text, predicted))::BIGINT AS d, sum(length(predicted) - length(text))::BIGINT AS g, sum(length(text))::BIGINT AS n FROM pairs GROUP BY engine) SELECT engine, d AS distance, g AS growth, n AS reference_units FROM s")
+@query(f"WITH {_PAIRS}, s AS (SELECT engine, sum(distance)::BIGINT AS d, sum(length(predicted) - length(text))::BIGINT AS g, sum(length(text))::BIGINT AS n FROM pairs GROUP BY engine) SELECT engine, d AS distance, g AS growth, n AS reference_units FROM s")
 def edit_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sums that the edit script must keep: I + D + S, I - D, and D + S + correct."""
-    return _script_sums(_pairs(spark, sf_dir))
-
-
-def _script_sums(pairs: DataFrame) -> DataFrame:
-    b = alignment.edit_breakdown(pairs, "engine")
+    b = alignment.edit_breakdown(_pairs(spark, sf_dir), "engine")
     return b.select("engine", F.expr("insertions + deletions + substitutions").alias("distance"), F.expr("insertions - deletions").alias("growth"), F.expr("deletions + substitutions + correct").alias("reference_units"))
 
 
 @query()
 def wer_by_engine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignment.edit_breakdown(_pairs(spark, sf_dir, masked=False), "engine", "kind", words=True)
-
-
-# The queries over masked texts again, over the texts as they are; without SQL, whose edit distance counts bytes.
-
-
-@query()
-def cer_by_engine_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.character_errors(_pairs(spark, sf_dir, masked=False), "engine")
-
-
-@query()
-def quality_cube_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.quality_cube(_pairs(spark, sf_dir, masked=False))
-
-
-@query()
-def wilson_audit_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _wilson(_pairs(spark, sf_dir, masked=False))
-
-
-@query()
-def text_similarity_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _similarity(_regions(spark, sf_dir), lambda c: c)
-
-
-@query()
-def projection_match_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.projection_matches(_pairs(spark, sf_dir, masked=False))
-
-
-@query()
-def code_token_exactness_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.code_tokens(_pairs(spark, sf_dir, masked=False).where("kind = 'code'"), "engine")
+    return alignment.edit_breakdown(_pairs(spark, sf_dir), "engine", "kind", words=True)
 
 
 @query()
 def edit_script_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insertions, deletions, substitutions and correct characters in the preferred tie order."""
-    return alignment.edit_breakdown(_pairs(spark, sf_dir, masked=False), "engine")
-
-
-@query()
-def edit_breakdown_unmasked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _script_sums(_pairs(spark, sf_dir, masked=False))
+    return alignment.edit_breakdown(_pairs(spark, sf_dir), "engine")
 
 
 @query()

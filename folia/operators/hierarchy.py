@@ -34,8 +34,6 @@ from folia.plans.lineage import Cuts
 HEAVY_ROWS, HEAVY_KEYS = 200_000, 500
 #: Rows that are left of a job when one task finishes it; the rounds go on above.
 TAIL_ROWS = 20_000
-#: Rows that are left of a job when one task finishes it; the rounds go on above.
-
 #: Places of one block of the walk that puts paths together.
 BLOCK_ROWS = 50_000
 #: Ids of paths that one Arrow batch holds before it is sent.

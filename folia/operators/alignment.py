@@ -6,6 +6,7 @@ themselves come from joins, and nothing is collected.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
@@ -56,10 +57,12 @@ def edit_counts(reference: Sequence, actual: Sequence) -> tuple[int, int, int, i
     return tuple(counts)
 
 
-def _trace(a: np.ndarray, b: np.ndarray, first: np.ndarray, base: int, counts: list[int], top: bool) -> int:
+def _trace(a: np.ndarray, b: np.ndarray, first: np.ndarray, base: int, counts: list[int], top: bool, kinds: tuple[np.ndarray, np.ndarray] | None = None) -> int:
     """Add the steps of the path from the end of ``a`` and ``b`` up to the row ``first``; returns its column there.
 
-    ``base`` is the number of the row ``first``; from the ``top`` row the path runs left to its start.
+    ``base`` is the number of the row ``first``; from the ``top`` row the path runs left to its start. ``kinds``
+    are bits of the units of both: a step also counts in the next four places for the first bit of its
+    reference unit (for insertions, of what was put in), and in the four after these for the second.
     """
     n, j = len(a), len(b)
     if n > 1 and (n + 1) * (j + 1) > MAX_CELLS:
@@ -69,23 +72,67 @@ def _trace(a: np.ndarray, b: np.ndarray, first: np.ndarray, base: int, counts: l
             saved.append(_last_row(a[k - step : k], b, saved[-1], base + k - step))
         for k in reversed(range(len(saved))):
             part = a[k * step : (k + 1) * step]
-            j = _trace(part, b[:j], saved.pop()[: j + 1], base + k * step, counts, top and not k)
+            own = None if kinds is None else (kinds[0][k * step : (k + 1) * step], kinds[1][:j])
+            j = _trace(part, b[:j], saved.pop()[: j + 1], base + k * step, counts, top and not k, own)
         return j
     t = _rows(a, b, first, base)
     i = n
     while i or top and j:
         if i and j and t[i, j] == t[i - 1, j - 1] + (a[i - 1] != b[j - 1]):
-            counts[3 if a[i - 1] == b[j - 1] else 2] += 1
+            step, kind = 3 if a[i - 1] == b[j - 1] else 2, kinds and kinds[0][i - 1]
             i, j = i - 1, j - 1
         elif i and t[i, j] == t[i - 1, j] + 1:
-            counts[1] += 1
+            step, kind = 1, kinds and kinds[0][i - 1]
             i -= 1
         else:
-            counts[0] += 1
+            step, kind = 0, kinds and kinds[1][j - 1]
             j -= 1
+        counts[step] += 1
+        if kind:
+            counts[4 + step] += kind & 1
+            counts[8 + step] += kind >> 1
     return j
 
 
+def _kind_bits(text: str) -> np.ndarray:
+    """1 for punctuation, 2 for letters that have a case."""
+    return np.array([unicodedata.category(c).startswith("P") + 2 * (c.lower() != c.upper()) for c in text], np.int64)
+
+
+def restricted_counts(reference: str, actual: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    """(insertions, deletions, substitutions, correct) of punctuation and of cased letters, on the preferred path."""
+    x, y = _kind_bits(reference), _kind_bits(actual)
+    if reference == actual:
+        return (0, 0, 0, int((x & 1).sum())), (0, 0, 0, int((x >> 1).sum()))
+    a, b = _codes(reference, actual)
+    k = 0
+    while k < min(len(a), len(b)) and a[-1 - k] == b[-1 - k]:
+        k += 1
+    same = x[len(x) - k :]
+    counts = [0] * 12
+    counts[7], counts[11] = int((same & 1).sum()), int((same >> 1).sum())
+    n, m = len(a) - k, len(b) - k
+    _trace(a[:n], b[:m], np.arange(m + 1, dtype=np.int32), 0, counts, True, (x[:n], y[:m]))
+    return tuple(map(int, counts[4:8])), tuple(map(int, counts[8:12]))
+
+
+def restricted_metrics(pairs: DataFrame, *by: str) -> DataFrame:
+    """Sums of the edit script's steps by group and by kind of sign (``punctuation`` or ``case``), with reference_units."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            groups = zip(*(pdf[c] for c in by)) if by else [()] * len(pdf)
+            for g, a, b in zip(groups, pdf["text"], pdf["predicted"]):
+                rows += [(*g, name, *c) for name, c in zip(("punctuation", "case"), restricted_counts(a, b))]
+            yield frame(rows, [*by, "restriction", "insertions", "deletions", "substitutions", "correct"])
+
+    kinds = "".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}, " for c in by)
+    each = pairs.select(*by, "text", "predicted").mapInPandas(run, kinds + "restriction string, insertions bigint, deletions bigint, substitutions bigint, correct bigint")
+    sums = [F.sum(c).alias(c) for c in ("insertions", "deletions", "substitutions", "correct")]
+    return each.groupBy(*by, "restriction").agg(*sums, F.sum(F.expr("deletions + substitutions + correct")).alias("reference_units"))
+
+
 def _last_row(a: np.ndarray, b: np.ndarray, first: np.ndarray, base: int) -> np.ndarray:
     column = np.arange(len(b) + 1, dtype=np.int32)
     row = first

@@ -380,18 +380,6 @@ def stage_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.pending(c.where("source_sha256 is not null").select("manual_id", "source_sha256").distinct(), ledger, ["manual_id", "source_sha256"])
 
 
-@query("SELECT tag, count(*) AS n, count(DISTINCT manual_id) AS manuals FROM (SELECT manual_id, unnest(p.tags) AS tag FROM (SELECT manual_id, unnest(candidate_pages) AS p FROM candidate_manuals)) WHERE tag IS NOT NULL GROUP BY tag")
-def queue_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "candidate_manuals").select("manual_id", F.explode("candidate_pages").alias("p"))
-    return pages.select("manual_id", F.explode("p.tags").alias("tag")).where("tag is not null").groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("manual_id").alias("manuals"))
-
-
-@query("""SELECT manual_id, count(*) AS pages, count(DISTINCT page_class) AS classes, max(n) AS largest FROM (SELECT manual_id, page_class, count(*) OVER (PARTITION BY manual_id, page_class) AS n FROM documents WHERE manual_id IS NOT NULL) GROUP BY manual_id""")
-def document_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    each = table(spark, sf_dir, "documents").where("manual_id is not null").groupBy("manual_id", "page_class").agg(F.count(F.lit(1)).alias("n"))
-    return each.groupBy("manual_id").agg(F.sum("n").alias("pages"), F.count("page_class").alias("classes"), F.max("n").alias("largest"))
-
-
 @query(f"""WITH {_REG} SELECT id, 'region-' || substring(sha256('region' || chr(31) || coalesce(source_text, '')), 1, 24) AS content_id, substring(sha256(document_id || chr(31) || page_id || chr(31) || id), 1, 16) AS stable_id FROM reg""")
 def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _regions(spark, sf_dir)

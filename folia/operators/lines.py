@@ -111,11 +111,11 @@ def headings(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "pos", (F.length("number") - F.length(F.replace(F.col("number"), F.lit("."), F.lit(""))) + 1).cast("bigint").alias("level"))
 
 
-def hierarchy_gaps(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, level, previous): headings that skip a level below the heading before them."""
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    h = headings(docs).withColumn("previous", F.lag("level").over(w))
-    return h.where("level > previous + 1").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "level", "previous")
+def hierarchy_gaps(heads: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc, pos, level, previous): headings that skip a level below the heading before them."""
+    w = Window.partitionBy(doc).orderBy("pos")
+    h = heads.withColumn("previous", F.lag("level").over(w))
+    return h.where("level > previous + 1").select(doc, F.col("pos").cast("bigint").alias("pos"), "level", "previous")
 
 
 def section_numbers(sources: DataFrame) -> DataFrame:

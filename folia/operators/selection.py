@@ -23,10 +23,15 @@ def top_per_stratum(df: DataFrame, strata: list[str], order: list[str], k: int)
 def second_review_sample(pages: DataFrame, *, group: str, share_percent: int = 10) -> DataFrame:
     """(group, page_key): the first ``ceil(share)`` pages of each group by the digest of group and page."""
     digest = sha256(F.concat(F.col(group), F.lit("\x1f"), F.col("page_key")))
-    ranked = pages.select(group, "page_key", digest.alias("digest"))
-    n = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy(group).orderBy("digest", "page_key"))
-    return ranked.withColumn("r", rank).join(n, group).where(F.col("r") <= F.ceil(F.col("n") * share_percent / 100)).select(group, "page_key")
+    # Two digits of the digest cut a group into parts that are in order already: whole parts are counted, and
+    # places are given inside one part only, so no group is sorted by one task.
+    each = pages.select(group, "page_key", digest.alias("digest"), F.substring(digest, 1, 2).alias("part"))
+    counts = each.groupBy(group, "part").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(group)
+    ahead = F.coalesce(F.sum("n").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(group, "part", ahead.alias("ahead"), F.ceil(F.sum("n").over(whole) * share_percent / 100).alias("wanted")).where("ahead < wanted")
+    rank = F.row_number().over(Window.partitionBy(group, "part").orderBy("digest", "page_key"))
+    return each.join(counts, [group, "part"]).where(F.col("ahead") < F.col("wanted")).withColumn("r", rank).where(F.col("ahead") + F.col("r") <= F.col("wanted")).select(group, "page_key")
 
 
 def pareto_frontier(df: DataFrame, by: list[str], low: str, high: str) -> DataFrame:
@@ -85,9 +90,9 @@ def sequence_findings(df: DataFrame, by: str, order: str) -> DataFrame:
 
 
 def content_groups(df: DataFrame, key: str, content: str) -> DataFrame:
-    """(sha256, copies, first_id, n_bytes): rows of equal content under its digest."""
+    """(sha256, copies, first_id, n_bytes, collision): rows of equal content under its digest; unequal lengths give a collision away."""
     rows = df.where(F.col(content).isNotNull())
-    return rows.groupBy(sha256(F.col(content)).alias("sha256")).agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("first_id"), F.max(F.octet_length(content)).cast("bigint").alias("n_bytes"))
+    return rows.groupBy(sha256(F.col(content)).alias("sha256")).agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("first_id"), F.max(F.octet_length(content)).cast("bigint").alias("n_bytes"), (F.min(F.octet_length(content)) != F.max(F.octet_length(content))).alias("collision"))
 
 
 def dangling_references(rows: DataFrame, key: str, target: str, known: DataFrame, known_key: str) -> DataFrame:

@@ -86,6 +86,9 @@ SQL: dict[str, str] = {
     "p1_found": f"WITH RECURSIVE {_WALK} SELECT id, stop_id FROM lost UNION ALL SELECT id, stop_id FROM round_",
     "p1_intervals": f"""WITH RECURSIVE {_CHAIN} SELECT e.id, CASE WHEN q.id IS NULL AND o.id IS NULL THEN e.at END AS root_id, e.steps AS depth, array_to_string(e.path, '/') AS path, coalesce(q.stop_id, o.stop_id) AS stop_id, count(c.id) - 1 AS n_below
  FROM ends e LEFT JOIN lost q ON q.id = e.id LEFT JOIN round_ o ON o.id = e.id LEFT JOIN chain c ON c.at = e.id GROUP BY ALL""",
+    # Ways round a circle are counted up to 2 000 steps, which is more than any chain here has; the shortest one holds.
+    "p1_descendants": f"""WITH RECURSIVE {_CURRENT}, w AS (SELECT id, parent AS up, 1 AS d FROM nodes WHERE parent IS NOT NULL UNION ALL SELECT w.id, n.parent, d + 1 FROM w JOIN nodes n ON n.id = w.up WHERE n.parent IS NOT NULL AND d < 2000)
+ SELECT w.up AS ancestor_id, w.id AS descendant_id, min(d)::INT AS distance FROM w JOIN nodes a ON a.id = w.up WHERE w.up <> w.id GROUP BY 1, 2""",
     "p4_found": f"""WITH {_RAW} SELECT 'raw_records' AS table_name, record_id, 'candidate_page' AS entity, i::BIGINT AS parent_pos, j::BIGINT AS pos FROM cp WHERE p ->> '$.page_index' IS NOT NULL
  UNION ALL SELECT 'raw_records', record_id, 'evidence', i, j FROM ev WHERE e ->> '$.kind' IS NOT NULL UNION ALL SELECT 'raw_records', record_id, 'region', i, j FROM rg WHERE r ->> '$.reference_box' IS NOT NULL
  UNION ALL SELECT 'candidate_manuals', record_id, 'candidate_page', 0, j FROM tp WHERE p.page_index IS NOT NULL UNION ALL SELECT 'candidate_manuals', record_id, 'evidence', 0, 0 FROM candidate_manuals WHERE truth.evidence.kind IS NOT NULL""",

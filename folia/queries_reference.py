@@ -12,6 +12,7 @@ from folia.functions import digests
 from folia.functions import text as T
 from folia.operators import evaluation as E
 from folia.operators import alignment, graphs, hierarchy, layout, lines, selection
+from folia.queries_core import _CHAIN
 from folia.sources.tables import table
 
 QUERIES: dict = {}
@@ -215,12 +216,14 @@ def normalization_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.blank_suggestions(table(spark, sf_dir, "project_regions"), "source_text", "ocr_text")
 
 
-_HEADS = _LINES + r""", hd AS (SELECT doc_id, pos, length(n) - length(replace(n, '.', '')) + 1 AS level FROM (SELECT doc_id, pos, regexp_extract(line, '^([0-9]+(\.[0-9]+)*) [A-Z]', 1) AS n FROM ln) WHERE n <> '')"""
-
-
-@query(f"WITH {_HEADS} SELECT * FROM (SELECT doc_id, pos::BIGINT AS pos, level::BIGINT AS level, lag(level) OVER (PARTITION BY doc_id ORDER BY pos) AS previous FROM hd) WHERE level > previous + 1")
+@query(r"""WITH sl AS (SELECT source_path, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM (SELECT source_path, string_split(text, chr(10)) AS l FROM sources WHERE text IS NOT NULL)),
+h AS (SELECT source_path, pos, CASE k WHEN 'chapter' THEN 1 WHEN 'section' THEN 2 ELSE 3 END AS level FROM (SELECT *, regexp_extract(line, '^\.(chapter|section|subsection)( |$)', 1) AS k FROM sl) WHERE k <> '')
+SELECT * FROM (SELECT source_path, pos::BIGINT AS pos, level::BIGINT AS level, lag(level::BIGINT) OVER (PARTITION BY source_path ORDER BY pos) AS previous FROM h) WHERE level > previous + 1""")
 def hierarchy_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.hierarchy_gaps(table(spark, sf_dir, "documents"))
+    """Subsections that follow a chapter without a section between them."""
+    heads = lines.section_numbers(table(spark, sf_dir, "sources"))
+    level = F.when(F.col("kind") == "chapter", 1).when(F.col("kind") == "section", 2).otherwise(3).cast("bigint")
+    return lines.hierarchy_gaps(heads.select("source_path", F.col("line_no").alias("pos"), level.alias("level")), "source_path")
 
 
 @query(r"""WITH sl AS (SELECT source_path, generate_subscripts(l, 1) AS line_no, unnest(l) AS line FROM (SELECT source_path, string_split(text, chr(10)) AS l FROM sources WHERE text IS NOT NULL)),
@@ -293,7 +296,9 @@ def union_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.union_boxes(_boxes(spark, sf_dir), "page_id", "kind")
 
 
-@query()
+@query(f"""WITH {_BOX}, v AS (SELECT * FROM bx WHERE x1 > x0 AND y1 > y0), e AS (SELECT DISTINCT page_id, unnest([x0, x1]) AS x FROM v), s AS (SELECT page_id, x, lead(x) OVER (PARTITION BY page_id ORDER BY x) AS nx FROM e),
+i AS (SELECT s.page_id, s.x, s.nx, v.y0, v.y1, coalesce(max(v.y1) OVER (PARTITION BY s.page_id, s.x ORDER BY v.y0, v.y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), v.y0) AS reach FROM s JOIN v ON v.page_id = s.page_id AND v.x0 <= s.x AND v.x1 >= s.nx WHERE s.nx IS NOT NULL)
+SELECT page_id, sum(greatest(y1 - greatest(reach, y0), 0) * (nx - x))::BIGINT AS area FROM i GROUP BY 1""")
 def raster_union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.union_area(_boxes(spark, sf_dir).select("page_id", "x0", "y0", "x1", "y1"))
 
@@ -349,7 +354,7 @@ def page_sequence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.sequence_findings(table(spark, sf_dir, "documents"), "manual_id", "page_index")
 
 
-@query("SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_id, max(strlen(text))::BIGINT AS n_bytes FROM documents WHERE text IS NOT NULL GROUP BY 1")
+@query("SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_id, max(strlen(text))::BIGINT AS n_bytes, min(strlen(text)) <> max(strlen(text)) AS collision FROM documents WHERE text IS NOT NULL GROUP BY 1")
 def artifact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.content_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -446,11 +451,11 @@ def overlap_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graphs.components(layout.iou_pairs(b, threshold_milli=0))
 
 
-@query()
+@query(f"WITH {_BOX} SELECT page_id, id, row_number() OVER (PARTITION BY page_id ORDER BY x0, y0, id) - 1 AS position FROM bx QUALIFY count(*) OVER (PARTITION BY page_id) > 1")
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graphs.topological_order(layout.reading_edges(_boxes(spark, sf_dir)), group="page_id")
 
 
-@query()
+@query(f"WITH RECURSIVE {_CHAIN} SELECT e.at AS root_id, e.id, row_number() OVER (PARTITION BY e.at ORDER BY e.path) - 1 AS position FROM ends e WHERE e.id IN (SELECT id FROM rooted)")
 def structure_preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graphs.preorder(hierarchy.hierarchy(table(spark, sf_dir, "region_proposals")))

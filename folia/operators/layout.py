@@ -55,8 +55,13 @@ def iou_pairs(regions: DataFrame, *, threshold_milli: int = 500, page: str = "pa
 
 def overlap_findings(regions: DataFrame, *, page: str = "page_id") -> DataFrame:
     """(page_id, id): boxes that share area with a box of a smaller id on their page."""
-    pairs = overlapping(regions, regions, page=page, where=F.col("b_id") < F.col("a_id"))
-    return pairs.select(F.col("page").alias("page_id"), F.col("a_id").alias("id")).distinct()
+    # A box is listed once in each of its cells and asks there for one earlier box; no pairs are made.
+    boxes = regions.where("x1 > x0 and y1 > y0").select(page, "id", "x0", "y0", "x1", "y1")
+    a = _cells(_prefixed(boxes, "a_", page), "a_", CELL)
+    b = _cells(_prefixed(boxes, "b_", page), "b_", CELL)
+    meet = F.expr("b_id < a_id and a_x0 < b_x1 and b_x0 < a_x1 and a_y0 < b_y1 and b_y0 < a_y1")
+    on = (a["page"] == b["page"]) & (a["cx"] == b["cx"]) & (a["cy"] == b["cy"]) & meet
+    return a.join(b, on, "left_semi").select(F.col("page").alias("page_id"), F.col("a_id").alias("id")).distinct()
 
 
 def containing_parents(children: DataFrame, parents: DataFrame, *, page: str = "page_id") -> DataFrame:

@@ -12,10 +12,10 @@ import duckdb
 import pandas as pd
 import pytest
 
-from folia import queries_core, queries_layout, queries_ledgers, queries_reference, queries_reports, queries_sources
+from folia import queries_audit, queries_core, queries_layout, queries_ledgers, queries_reference, queries_reports, queries_sources
 
 SMALL = "/root/testdata/sf0.001"
-MODULES = (queries_core, queries_reference, queries_layout, queries_reports, queries_sources, queries_ledgers)
+MODULES = (queries_core, queries_reference, queries_layout, queries_reports, queries_sources, queries_ledgers, queries_audit)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 SQL = {k: q for m in MODULES for k, q in m.SQL.items()}
 

@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -328,11 +329,12 @@ def _summed(cuts: Cuts, first: DataFrame) -> DataFrame:
 _PATH_SCHEMA = "id string, root_id string, depth int, path array<string>, stop_id string, status string, ring_pos int, place bigint, n_below bigint"
 
 
-def _with_paths(rows: DataFrame, total: int) -> DataFrame:
+def _with_paths(rows: DataFrame, total: int, *, pairs: bool = False) -> DataFrame:
     """Paths of rows(id, place, depth, below, status, stop, ring_pos): places are cut into blocks.
 
     A node goes to the block of its place and, as an opening row, to every later block that its interval reaches
-    into. A block in order of places is then a walk in pre-order, and the ids on the way are its stack.
+    into. A block in order of places is then a walk in pre-order, and the ids on the way are its stack. With
+    ``pairs`` every id on the way to a node makes a row (ancestor_id, descendant_id, distance) instead.
     """
     size = max(1, min(BLOCK_ROWS, -(-total // 64)))
     first, last = F.floor(F.col("place") / size), F.floor((F.col("place") + F.col("below")) / size)
@@ -355,38 +357,34 @@ def _with_paths(rows: DataFrame, total: int) -> DataFrame:
                 columns = [take("id", pa.string()), pa.array(roots, pa.string()), take("depth", pa.int32()), paths, pa.array([x[1] for x in labels], pa.string()), pa.array([x[0] for x in labels], pa.string())]
                 return pa.RecordBatch.from_arrays([*columns, take("ring_pos", pa.int32()), take("place", pa.int64()), take("below", pa.int64())], schema=schema)
 
+            def links() -> pa.RecordBatch:
+                sizes = np.diff(ends)
+                below = pa.array([c["id"][i] for i in kept], pa.string()).take(pa.array(np.repeat(np.arange(len(kept)), sizes)))
+                steps = np.concatenate([np.arange(n, 0, -1) for n in sizes]) if kept else np.empty(0)
+                return pa.RecordBatch.from_arrays([pa.array(flat, pa.string()), below, pa.array(steps, pa.int32())], names=["ancestor_id", "descendant_id", "distance"])
+
+            make = links if pairs else part
             for i, (name, depth, status, stop, opening) in enumerate(zip(c["id"], c["depth"], c["status"], c["stop"], c["open"])):
                 stack[depth:] = [name]
                 if not depth:
                     label = (status, stop)
                 if opening:
                     continue
-                flat += stack
+                flat += stack[:-1] if pairs else stack
                 ends.append(len(flat))
                 kept.append(i)
                 roots.append(stack[0] if label[0] == "rooted" else None)
                 labels.append(label)
                 if len(flat) > BATCH_IDS:
-                    yield part()
+                    yield make()
                     flat, ends, kept, roots, labels = [], [0], [], [], []
-            yield part()
+            yield make()
 
-    return blocks.select("id", "depth", "status", "stop", "ring_pos", "place", "below", "open").mapInArrow(walk, _PATH_SCHEMA)
+    return blocks.select("id", "depth", "status", "stop", "ring_pos", "place", "below", "open").mapInArrow(walk, "ancestor_id string, descendant_id string, distance int" if pairs else _PATH_SCHEMA)
 
 
-def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id", revision_col: str | None = "revision") -> DataFrame:
-    """Per node: id, root_id, depth, path (root first, the node last), stop_id, status, ring_pos, place, n_below.
-
-    ``status`` is ``rooted``, ``missing-parent`` or ``circle``. Below a missing parent the path starts
-    with the missing id's child and depth counts from it. Circles are cut at their members: the path of a
-    member is the member alone, that of a node below starts at its entry to the circle, and depth counts
-    from there. ``ring_pos`` is a member's steps down from the smallest id of its circle, else null.
-    ``place`` numbers all nodes in pre-order of the cut forest, so the nodes below a node are those of the
-    ``n_below`` places after its own.
-
-    Nodes are numbered, and only numbers, counts and places move while the pointers double; the ids of a path
-    are put together once, in a walk over the places.
-    """
+def _placed(df: DataFrame, *, id_col: str, parent_col: str, revision_col: str | None) -> tuple[DataFrame, int]:
+    """Rows (id, place, depth, below, status, stop, ring_pos, in_circle) of the forest that is cut at circles, and their number."""
     cuts = Cuts(df.sparkSession, "hierarchy")
     nodes, _, total = cuts.write_counted(current_nodes(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col).withColumn("n", F.monotonically_increasing_id()))
     up = nodes.select(F.col("id").alias("ptr"), F.col("n").alias("up"))
@@ -401,11 +399,35 @@ def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id
         cut = ring.drop("status", "stop", "ring_pos").join(ends, "id")
         cut = cut.select("n", "id", "parent", F.when(~F.col("member"), F.col("up")).alias("up"), F.when(F.col("member"), "circle").alias("status"), F.when(F.col("member"), F.col("stop_id")).alias("stop"), "ring_pos")
         cut, _ = cuts.write(cut)
-        forest = forest.join(stuck, "n", "left_anti").unionByName(cut)
+        forest = forest.join(stuck, "n", "left_anti").withColumn("in_circle", F.lit(False)).unionByName(cut.withColumn("in_circle", F.lit(True)))
         below = below.unionByName(_below(cuts, cut.select("n", F.col("up").alias("ptr")))[0])
+    else:
+        forest = forest.withColumn("in_circle", F.lit(False))
     sized, _ = cuts.write(forest.drop("parent").join(below, "n", "left").withColumn("below", F.coalesce("below", F.lit(0).cast("bigint"))))
     placed = _summed(cuts, _steps(cuts, sized, total))
-    return _with_paths(sized.drop("up").join(placed, "n").drop("n"), total)
+    return cuts.write(sized.drop("up").join(placed, "n").drop("n"))[0], total
+
+
+def hierarchy(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id", revision_col: str | None = "revision") -> DataFrame:
+    """Per node: id, root_id, depth, path (root first, the node last), stop_id, status, ring_pos, place, n_below.
+
+    ``status`` is ``rooted``, ``missing-parent`` or ``circle``. Below a missing parent the path starts
+    with the missing id's child and depth counts from it. Circles are cut at their members: the path of a
+    member is the member alone, that of a node below starts at its entry to the circle, and depth counts
+    from there. ``ring_pos`` is a member's steps down from the smallest id of its circle, else null.
+    ``place`` numbers all nodes in pre-order of the cut forest, so the nodes below a node are those of the
+    ``n_below`` places after its own.
+
+    Nodes are numbered, and only numbers, counts and places move while the pointers double; the ids of a path
+    are put together once, in a walk over the places.
+    """
+    return _with_paths(*_placed(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col))
+
+
+def descendant_pairs(df: DataFrame, *, id_col: str = "id", parent_col: str = "parent_id", revision_col: str | None = "revision") -> DataFrame:
+    """:func:`descendants` of all nodes of a table, out of the walk itself: no paths are made but for circles."""
+    rows, total = _placed(df, id_col=id_col, parent_col=parent_col, revision_col=revision_col)
+    return _with_paths(rows, total, pairs=True).unionByName(_round_circles(_with_paths(rows.where("in_circle"), total)))
 
 
 def descendants(paths: DataFrame) -> DataFrame:
@@ -416,6 +438,11 @@ def descendants(paths: DataFrame) -> DataFrame:
     """
     each = paths.select(F.col("id").alias("descendant_id"), "depth", F.posexplode("path").alias("pos", "ancestor_id"))
     on_paths = each.where("pos < depth").select("ancestor_id", "descendant_id", (F.col("depth") - F.col("pos")).alias("distance"))
+    return on_paths.unionByName(_round_circles(paths))
+
+
+def _round_circles(paths: DataFrame) -> DataFrame:
+    """The pairs of :func:`descendants` that lead round a circle."""
     # Paths on and below a circle start at a member; the other members come before it.
     members = paths.where("ring_pos is not null").select("id", "stop_id", "ring_pos")
     size = members.groupBy("stop_id").agg(F.count(F.lit(1)).cast("int").alias("size"))
@@ -424,8 +451,7 @@ def descendants(paths: DataFrame) -> DataFrame:
     # All members above each member, with the steps down to it.
     above = entry.join(other, "stop_id").where("entry_pos != ring_pos").select("entry", "ancestor_id", F.pmod(F.col("entry_pos") - F.col("ring_pos"), F.col("size")).alias("steps"))
     under = paths.where("status = 'circle'").select(F.col("id").alias("descendant_id"), "depth", F.col("path")[0].alias("entry"))
-    round_circles = under.join(above, "entry").select("ancestor_id", "descendant_id", (F.col("depth") + F.col("steps")).alias("distance"))
-    return on_paths.unionByName(round_circles)
+    return under.join(above, "entry").select("ancestor_id", "descendant_id", (F.col("depth") + F.col("steps")).alias("distance"))
 
 
 def descendant_counts(paths: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def p1_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a node and one of its descendants, with their distance."""
-    return hierarchy.descendants(p1_hierarchy(spark, sf_dir))
+    return hierarchy.descendant_pairs(table(spark, sf_dir, "region_proposals"))
 
 
 def p1_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:

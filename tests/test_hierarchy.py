@@ -98,7 +98,8 @@ def test_circles_and_what_hangs_below(spark, tail):
         parent[f"n{k:02d}"] = rnd.choice(["c0", "c3", "x", "self", "mid", "under", *(f"n{j:02d}" for j in range(k))])
     rows = [(i, p, 1, None, None) for i, p in parent.items()]
     rnd.shuffle(rows)
-    h = hierarchy.hierarchy(spark.createDataFrame(rows, SCHEMA))
+    df = spark.createDataFrame(rows, SCHEMA)
+    h = hierarchy.hierarchy(df)
     want, paths = set(), {}
     circles = [{"c0", "c1", "c2", "c3", "c4"}, {"self"}, {"x", "y"}]
     on = set().union(*circles)
@@ -114,6 +115,7 @@ def test_circles_and_what_hangs_below(spark, tail):
         paths[i] = walk
     got = [(r.ancestor_id, r.descendant_id, r.distance) for r in hierarchy.descendants(h).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+    assert sorted((r.ancestor_id, r.descendant_id, r.distance) for r in hierarchy.descendant_pairs(df).collect()) == sorted(got)
     each = {r.id: r for r in h.collect()}
     assert {i: list(r.path) for i, r in each.items()} == paths and all(r.depth == len(r.path) - 1 for r in each.values())
     assert {i for i, r in each.items() if r.ring_pos is not None} == on
@@ -124,7 +126,7 @@ def test_circles_and_what_hangs_below(spark, tail):
 def test_empty(spark, tail):
     df = spark.createDataFrame([], SCHEMA)
     assert hierarchy.unrooted(df).collect() == []
-    assert hierarchy.hierarchy(df).collect() == []
+    assert hierarchy.hierarchy(df).collect() == [] and hierarchy.descendant_pairs(df).collect() == []
 
 
 def test_components_and_order(spark):

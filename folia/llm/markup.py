@@ -573,8 +573,9 @@ def _argument(raw: str) -> str:
 
 def fitted(regions: DataFrame, *, sample_regions: int = SAMPLE_REGIONS) -> Wrappers:
     """Wrappers of at most ``sample_regions`` regions with two witnesses, those of the lowest id hash."""
-    # The recognised text never held formatting; a reviewer's text can be a copy of the source.
-    both = regions.select("id", "document_id", "source_text", F.coalesce("ocr_text", "canonical_text").alias("other")).where("source_text is not null")
+    # The recognised text never held formatting; a reviewer's text that equals the source can be a copy of it and shows nothing.
+    reviewed = F.when(F.col("canonical_text") != F.col("source_text"), F.col("canonical_text"))
+    both = regions.select("id", "document_id", "source_text", F.coalesce("ocr_text", reviewed).alias("other")).where("source_text is not null")
     rows = bounded_sample(both, ["id"], sample_regions).select("document_id", "source_text", "other").collect()
     return fit([(r[0], r[1], r[2]) for r in rows])
 

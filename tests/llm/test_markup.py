@@ -67,7 +67,7 @@ def test_structure_is_kept():
 def test_rows(spark):
     rows = [(f"m{k}", "host", m, None, m, "x") for k, m in enumerate(MARKED)] + [(f"c{k}", "host", c, None, c, "x") for k, c in enumerate(CLEAN)]
     rows += [("n", "host", None, "a", None, None), ("m0", "host", MARKED[0], None, None, "again")]
-    regions = spark.createDataFrame(rows + [(f"f{k}", h, s, None, t, None) for k, (h, s, t) in enumerate(pairs())], "id string, document_id string, source_text string, ocr_text string, canonical_text string, lines string")
+    regions = spark.createDataFrame(rows + [(f"f{k}", h, s, t, None, None) for k, (h, s, t) in enumerate(pairs())], "id string, document_id string, source_text string, ocr_text string, canonical_text string, lines string")
     text = "plain\n\\begin{verbatim}\n(a)\n\\end{verbatim}\nlast <b>x</b>"
     sources = spark.createDataFrame([("p", "host", text), ("q", "host", None)], "source_path string, document_id string, text string")
     spans = [("s1", "p", [1, 1]), ("s2", "p", [2, 2]), ("s3", "p", [3, 3]), ("s4", "p", [4, 99]), ("s5", "p", None), ("s6", "p", [5, 2]), ("s7", "q", [1, 2]), ("s2", "p", [2, 2]), ("s8", "gone", [1, 1])]
@@ -80,7 +80,7 @@ def test_rows(spark):
 
 
 def test_spans_are_cleaned(spark):
-    regions = spark.createDataFrame([(f"f{k}", h, s, None, t) for k, (h, s, t) in enumerate(pairs())] + [("n", "host", None, None, None)], "id string, document_id string, source_text string, ocr_text string, canonical_text string")
+    regions = spark.createDataFrame([(f"f{k}", h, s, t, None) for k, (h, s, t) in enumerate(pairs())] + [("n", "host", None, None, None)], "id string, document_id string, source_text string, ocr_text string, canonical_text string")
     text = ".section Head\nplain\n\\begin{verbatim}\n(a &optional b)\n\\end{verbatim}\nsee <!-- one\ntwo --> x &amp; y\nlast <b>x</b>"
     sources = spark.createDataFrame([("p", "host", text), ("q", "host", None), ("r", "host", "no mark\n")], "source_path string, document_id string, text string")
     want = {

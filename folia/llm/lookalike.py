@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions.frames import frame
-from folia.plans.samples import bounded_sample
 
-#: Texts of the sample that the bigrams are counted on, at most.
-SAMPLE_TEXTS = 3_000
-#: Log-price of a change of script between two letters of a word, and of an unseen pair.
+#: Log-price of a change of script between two letters of a word, and the count that an unseen pair is given.
 SCRIPT_CHANGE, UNSEEN_PAIR = -7.0, 0.5
+#: The least share of the words that an unseen pair's count is: two of them in a row must not cost more than two
+#: changes of script, however many words were counted.
+UNSEEN_SHARE = 1e-7
+#: Distinct words that a task holds before it sends their pairs on.
+HELD_WORDS = 200_000
 
 #: Look-alike classes (fixed values): the representative, then signs that are drawn like it.
 CLASSES = """
@@ -142,6 +144,8 @@ BLANK_SIGNS = "͏ᅟᅠ឴឵᠋᠌᠍ㅤﾠ"
 REPRESENTATIVE = {ord(x): line[0] for line in CLASSES.split("\n") if line for x in line.split(" ")[1:]}
 MEMBERS = {line[0]: tuple(line.split(" ")) for line in CLASSES.split("\n") if line}
 NEAR = {line[0]: tuple(line.split(" ")[1:]) for line in NEARLY.split("\n") if line}
+#: Signs that a search can choose between.
+CHOSEN = frozenset(x for c in MEMBERS for x in MEMBERS[c]).union(NEAR, *NEAR.values())
 
 
 class _Fold(dict):
@@ -200,11 +204,12 @@ class Speller:
         self.before: Counter = Counter()
         for (x, _), n in pairs.items():
             self.before[x] += n
+        self.unseen = max(UNSEEN_PAIR, UNSEEN_SHARE * self.before[""])
         self.known: dict[str, str] = {}
 
     def _step(self, x: str, y: str) -> float:
         change = SCRIPT_CHANGE if x and _script(x) and _script(y) and _script(x) != _script(y) else 0.0
-        return change + math.log((self.pairs.get((x, y), 0) + UNSEEN_PAIR) / (self.before[x] + 400.0 * UNSEEN_PAIR))
+        return change + math.log((self.pairs.get((x, y), 0) + self.unseen) / (self.before[x] + 400.0 * self.unseen))
 
     def word(self, skeleton_word: str) -> str:
         """The best members of the classes of a skeleton's word."""
@@ -227,26 +232,53 @@ class Speller:
         return WORD.sub(lambda m: self.word(m.group()), skeleton(text))
 
 
-def fit(texts: Iterable[str]) -> dict[tuple[str, str], int]:
+def _pairs(words: Counter) -> Counter:
     """Character pairs inside words of one script."""
     pairs: Counter = Counter()
-    for text in texts:
-        for word, n in Counter(WORD.findall(unicodedata.normalize("NFC", text))).items():
-            if len({_script(c) for c in word}) == 1:
-                for x, y in zip(("", *word), word):
-                    pairs[x, y] += n
-    return dict(pairs)
+    for word, n in words.items():
+        if len({_script(c) for c in word}) == 1:
+            for x, y in zip(("", *word), word):
+                pairs[x, y] += n
+    return pairs
+
+
+def _words(text: str) -> list[str]:
+    return WORD.findall(text if text.isascii() else unicodedata.normalize("NFC", text))
+
+
+def fit(texts: Iterable[str]) -> dict[tuple[str, str], int]:
+    """Character pairs inside words of one script."""
+    return dict(_pairs(Counter(w for t in texts for w in _words(t))))
 
 
-def speller_pairs(df: DataFrame, text_cols: list[str], *, sample_texts: int = SAMPLE_TEXTS) -> dict[tuple[str, str], int]:
-    """Bigrams of at most ``sample_texts`` rows, those of the lowest hash of their texts."""
-    rows = bounded_sample(df.select(*text_cols), text_cols, sample_texts).collect()
-    return fit(t for r in rows for t in r if t)
+def speller_pairs(df: DataFrame, text_cols: list[str]) -> dict[tuple[str, str], int]:
+    """Bigrams of all rows, those between two signs without a choice left out.
+
+    Such a pair costs every path through a word the same, so the best one does not depend on it. What is sent to
+    the driver grows with the alphabets, not with the table.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: Counter = Counter()
+        pairs: Counter = Counter()
+        for pdf in batches:
+            for c in text_cols:
+                for t in pdf[c]:
+                    if t:
+                        words.update(_words(t))
+            if len(words) > HELD_WORDS:
+                pairs.update(_pairs(words))
+                words.clear()
+        pairs.update(_pairs(words))
+        yield frame(((x, y, n) for (x, y), n in pairs.items() if not x or x in CHOSEN or y in CHOSEN), ["x", "y", "n"])
+
+    counted = df.select(*text_cols).mapInPandas(run, "x string, y string, n long")
+    return {(r.x, r.y): r.n for r in counted.groupBy("x", "y").agg(F.sum("n").alias("n")).collect()}
 
 
-def normalized(df: DataFrame, *, id_col: str, text_cols: list[str], sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
+def normalized(df: DataFrame, *, id_col: str, text_cols: list[str]) -> DataFrame:
     """``id_col`` and the one form of each text column."""
-    pairs = df.sparkSession.sparkContext.broadcast(speller_pairs(df, text_cols, sample_texts=sample_texts))
+    pairs = df.sparkSession.sparkContext.broadcast(speller_pairs(df, text_cols))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spell = Speller(pairs.value)
@@ -257,7 +289,7 @@ def normalized(df: DataFrame, *, id_col: str, text_cols: list[str], sample_texts
     return df.select(id_col, *text_cols).mapInPandas(run, ", ".join([f"`{id_col}` {kind}", *(f"`{c}` string" for c in text_cols)]))
 
 
-def same_look(df: DataFrame, *, id_col: str = "id", left: str = "source_text", right: str = "ocr_text", sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
+def same_look(df: DataFrame, *, id_col: str = "id", left: str = "source_text", right: str = "ocr_text") -> DataFrame:
     """Ids of rows whose two texts are unequal but look the same.
 
     Two texts look the same if the best readings of their lattices are equal.
@@ -265,7 +297,7 @@ def same_look(df: DataFrame, *, id_col: str = "id", left: str = "source_text", r
     Unequal texts of plain ASCII without tabs and carriage returns differ in look, whatever the search says:
     no class holds two of those signs. Such rows are settled in the scan.
     """
-    pairs = df.sparkSession.sparkContext.broadcast(speller_pairs(df, [left], sample_texts=sample_texts))
+    pairs = df.sparkSession.sparkContext.broadcast(speller_pairs(df, [left]))
     odd = r"[^\x00-\x08\x0a-\x0c\x0e-\x7f]"
     rows = df.select(id_col, left, right).where((F.col(left) != F.col(right)) & (F.col(left).rlike(odd) | F.col(right).rlike(odd)))
 

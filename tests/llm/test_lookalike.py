@@ -45,3 +45,24 @@ def test_scores_decide_nearly_alike_signs():
     home = ["հայոց", "որոնց"]
     spell = K.Speller(K.fit(words + home * 5))
     assert [spell.form(w) for w in home] == home and spell.form("nո") == "nn"
+
+
+def test_bigrams_come_from_all_rows(spark):
+    """More rows than any bound, null texts among them; the pairs do not depend on partitions."""
+    words = ["the cell holds a note", "раздел описывает порядок", "café und größer", None, "編集画面 を保存", ""]
+    rows = [(k, f"{words[k % 6]} {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" if words[k % 6] else words[k % 6]) for k in range(9_000)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    whole = K.fit(t for _, t in rows if t)
+    pairs = K.speller_pairs(df, ["t"])
+    assert sum(n for (x, _), n in pairs.items() if not x) == sum(n for (x, _), n in whole.items() if not x)
+    assert pairs == {k: n for k, n in whole.items() if not k[0] or K.CHOSEN.intersection(k)} == K.speller_pairs(df.repartition(7), ["t"])
+    some, every = K.Speller(pairs), K.Speller(whole)
+    for w in ("порядок", "cell", "tһе", "сеll", "größеr", "nո", "編集o画面", "хх", "xjq", "ԛԛ"):
+        assert some.form(w) == every.form(w)
+
+
+def test_unseen_pairs_cost_no_more_however_much_was_counted():
+    """A word of unseen pairs stays in its script; with a fixed count for unseen pairs it left it."""
+    one = K.fit(["the cell holds a note", "a box of paper", "she copies the place"])
+    for n in (1, 10**6, 10**10):
+        assert K.Speller({k: v * n for k, v in one.items()}).form("hhho") == "hhho"

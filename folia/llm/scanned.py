@@ -7,7 +7,7 @@ text), its place, whether it stands among program text, and whether the other wi
 Paragraphs are put together from the body lines: lines broken at a hyphen or its like are joined, prose is
 reflowed, program text keeps its lines, misrecognised words are set right.
 
-Both the model and the word list are fitted on a bounded sample of regions that have a second witness, the
+Both the model and the word list come from all regions that have a second witness, the
 source text: a line that the witness lacks is labelled by its form. A word counts as misrecognised if it
 is unknown, and one or two known confusions turn it into a word of the witness or, where there is no
 witness, of the word list; alike-looking characters are folded first and do not count.
@@ -23,7 +23,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -34,10 +34,12 @@ from folia.functions.frames import frame
 from folia.llm.leakage import ACCENTS
 from folia.llm.leakage import words as witness_words
 from folia.llm.lookalike import skeleton
-from folia.plans.samples import bounded_sample
 
-#: Regions of the fitting sample, at most; a word of the list must stand in so many of their texts.
-SAMPLE_REGIONS, KNOWN_TEXTS = 8_000, 3
+#: A word of the list must stand in so many source texts, and in that share of them: what marks and look-alikes
+#: leave of words grows with the table.
+KNOWN_TEXTS, KNOWN_SHARE = 3, 3 / 8_000
+#: Distinct words that a task holds before it sends their counts on.
+HELD_WORDS = 500_000
 STATES = ("body", "header", "break")
 
 #: Confusions of character recognition (fixed values): what stands there, what it was.
@@ -157,12 +159,7 @@ class Model:
 
     def fix(self, word: str, among: set[str] | frozenset[str]) -> str | None:
         """The word of ``among`` that one or two confusions turned into ``word``."""
-        once = {v for v in _unconfused(word)}
-        hit = once & among
-        if not hit and len(word) > 4:
-            hit = {v for o in once for v in _unconfused(o)} & among
-        hit.discard(word)
-        return min(hit) if hit else None
+        return _fix(word, among)
 
     def listed_fix(self, word: str) -> str | None:
         if word not in self.fixes:
@@ -180,6 +177,15 @@ def _unconfused(word: str) -> Iterator[str]:
             at = word.find(seen, at + 1)
 
 
+def _fix(word: str, among: set[str] | frozenset[str]) -> str | None:
+    once = {v for v in _unconfused(word)}
+    hit = once & among
+    if not hit and len(word) > 4:
+        hit = {v for o in once for v in _unconfused(o)} & among
+    hit.discard(word)
+    return min(hit) if hit else None
+
+
 class Witness:
     """What the source text of a region says about its lines and words; taken apart when first asked."""
 
@@ -188,6 +194,7 @@ class Witness:
         self.there = bool(source)
         self._tokens: list[str] | None = None
         self._words: set[str] | None = None
+        self._all_words: set[str] | None = None
         self._folded: str | None = None
 
     @property
@@ -209,6 +216,13 @@ class Witness:
             self._words = set(self.tokens)
         return self._words
 
+    @property
+    def all_words(self) -> set[str]:
+        """The words with marks taken out, and as they stand."""
+        if self._all_words is None:
+            self._all_words = self.words | set(_TOKEN.findall(_plain(self.source.casefold())))
+        return self._all_words
+
     def share(self, line: str) -> str:
         """How many of a line's words the witness has: none, some or most of them."""
         if not self.there:
@@ -217,6 +231,8 @@ class Witness:
             return "most"
         found = _TOKEN.findall(line.lower() if line.isascii() else _plain(skeleton(line).casefold()))
         there = sum(w in self.words for w in found)
+        if there <= NONE * len(found):  # a line of misread words is the witness's too
+            there = sum(w in self.all_words or _fix(w, self.all_words) is not None for w in found)
         return "none" if there <= NONE * len(found) else "some" if there <= SOME * len(found) else "most"
 
     def has_line(self, line: str, form: str) -> str:
@@ -265,7 +281,7 @@ def _shape(line: str, before: str) -> str:
 
 
 def _label(s: tuple) -> int:
-    """The state of a line of the sample, from its form and what the witness has of it."""
+    """The state of a line to fit on, from its form and what the witness has of it."""
     if len(s) < 4 or s[3] in ("in", "some", "most"):
         return 0
     if s[0] in _PLAIN:
@@ -274,35 +290,63 @@ def _label(s: tuple) -> int:
     return 2 if s[0] in _NUMBER else 1
 
 
-def fit(rows: list[tuple[str | None, str, str]]) -> Model:
-    """The model of (document_id, source_text, ocr_text) rows."""
-    start, steps = [1.0] * 3, [[1.0] * 3 for _ in range(3)]
-    symbols: dict[tuple, Counter] = {}
-    forms: dict[str, Counter] = {}
-    totals: Counter = Counter()
-    texts: Counter = Counter()
+def _count(rows: Iterable[tuple[str | None, str, str]], counts: Counter, words: Counter) -> None:
+    """Add what (document_id, source_text, ocr_text) rows hold: (part, key, state) of their lines, and their words."""
+    manuals: dict[str | None, frozenset[str]] = {}
     for manual_id, source, ocr in rows:
         witness = Witness(source)
-        texts.update(witness.words | set(_TOKEN.findall(_plain(source.casefold()))))
-        manual = _title_words(manual_id)
+        words.update(witness.all_words)
+        manual = manuals.get(manual_id)
+        if manual is None:
+            manual = manuals[manual_id] = _title_words(manual_id)
         lines = ocr.split("\n")
         seen = _symbols(lines, manual, witness)
         states = [_label(s) for s in seen]
-        start[states[0]] += 1
+        counts["start", "", states[0]] += 1
         for a, b in zip(states, states[1:]):
-            steps[a][b] += 1
+            counts["step", str(a), b] += 1
         for s, state in zip(seen, states):
-            totals[state] += 1
             # The witness is missing elsewhere: the same line counts once with it and once without.
             for t in {s, s[:3] + ("?",)} if len(s) > 3 else {s}:
-                symbols.setdefault(t, Counter())[state] += 1
-            forms.setdefault(s[0], Counter())[state] += 1
-    log = lambda counts, weight: [math.log((counts[i] + weight) / (totals[i] + 3.0)) for i in range(3)]
+                counts["line", " ".join(t), state] += 1
+            counts["form", s[0], state] += 1
+
+
+def _model(counts: Iterable[tuple[str, str, int, int]], lexicon: frozenset[str]) -> Model:
+    """The model of (part, key, state, n) counts."""
+    start, steps = [1.0] * 3, [[1.0] * 3 for _ in range(3)]
+    symbols: dict[tuple, Counter] = {}
+    forms: dict[str, Counter] = {}
+    totals: Counter = Counter()
+    for part, key, state, n in counts:
+        if part == "start":
+            start[state] += n
+        elif part == "step":
+            steps[int(key)][state] += n
+        elif part == "line":
+            symbols.setdefault(tuple(key.split(" ")), Counter())[state] += n
+        else:
+            forms.setdefault(key, Counter())[state] += n
+            totals[state] += n
+    log = lambda c, weight: [math.log((c[i] + weight) / (totals[i] + 3.0)) for i in range(3)]
     norm = lambda v: [math.log(x / sum(v)) for x in v]
-    lexicon = frozenset(w for w, n in texts.items() if n >= KNOWN_TEXTS and not w.isdigit())
     return Model(norm(start), [norm(s) for s in steps], {s: log(c, 0.01) for s, c in symbols.items()}, {f: log(c, 0.01) for f, c in forms.items()}, lexicon)
 
 
+def _least_texts(texts: int) -> float:
+    """How many of so many texts a word of the list must stand in."""
+    return max(KNOWN_TEXTS, KNOWN_SHARE * texts)
+
+
+def fit(rows: Iterable[tuple[str | None, str, str]]) -> Model:
+    """The model of (document_id, source_text, ocr_text) rows."""
+    counts: Counter = Counter()
+    words: Counter = Counter()
+    _count(rows, counts, words)
+    least = _least_texts(sum(n for k, n in counts.items() if k[0] == "start"))
+    return _model(((*k, n) for k, n in counts.items()), frozenset(w for w, n in words.items() if n >= least and not w.isdigit()))
+
+
 @dataclass
 class Reading:
     """A text's lines with their states, and the defects it holds."""
@@ -460,11 +504,29 @@ def repaired(text: str, r: Reading) -> str:
     return whole
 
 
-def fitted(df: DataFrame, *, sample_regions: int = SAMPLE_REGIONS) -> Model:
-    """The model of at most ``sample_regions`` regions with both witnesses, those of the lowest id hash."""
-    both = df.select("id", "document_id", "source_text", "ocr_text").where("source_text is not null and ocr_text is not null")
-    rows = bounded_sample(both, ["id"], sample_regions).select("document_id", "source_text", "ocr_text").collect()
-    return fit([(r[0], r[1], r[2]) for r in rows])
+def fitted(df: DataFrame) -> Model:
+    """The model of all regions with both witnesses: that of :func:`fit`, counted by the tasks.
+
+    What is sent to the driver are the kinds of lines and the word list; it grows with the vocabulary.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        words: Counter = Counter()
+        names = ["part", "key", "state", "n"]
+        for pdf in batches:
+            _count(zip(pdf["document_id"], pdf["source_text"], pdf["ocr_text"]), counts, words)
+            if len(words) > HELD_WORDS:
+                yield frame((("word", w, 0, n) for w, n in words.items()), names)
+                words.clear()
+        yield frame([*((*k, n) for k, n in counts.items()), *(("word", w, 0, n) for w, n in words.items())], names)
+
+    both = df.select("document_id", "source_text", "ocr_text").where("source_text is not null and ocr_text is not null")
+    counted = both.mapInPandas(run, "part string, key string, state int, n long").groupBy("part", "key", "state").agg(F.sum("n").alias("n"))
+    rows = counted.where((F.col("part") != "word") | (F.col("n") >= _least_texts(both.count()))).toPandas()
+    of_words = rows["part"] == "word"
+    lexicon = frozenset(w for w in rows["key"][of_words] if not w.isdigit())
+    return _model(rows[~of_words].itertuples(index=False, name=None), lexicon)
 
 
 def _over(df: DataFrame, make, schema: str) -> DataFrame:

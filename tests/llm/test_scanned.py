@@ -111,3 +111,31 @@ def test_hyphens_follow_the_witness():
     t = text([BODY[0], "from the micro-", "", "[53]", "", "code. During overflow recovery"])
     r = S.read(t, manual, S.Witness(None), m)
     assert r.defects == {"hyphenation", "page-number"} and S.repaired(t, r) == BODY[0] + " from the microcode. During overflow recovery"
+
+
+def test_model_comes_from_all_regions(spark):
+    """More regions than any bound: the model is that of all rows, whatever the partitions."""
+    data = [(f"r{k}", d, s if k % 7 else None, t, None) for k, (d, s, t) in enumerate(rows()[:17] * 700)]
+    data += [(f"w{k}", None, f"the zygomorph stands {'here' * (k + 1)}", "[12]\nthe zyg0morph stands", "the zygomorph stands") for k in range(9)]
+    df = spark.createDataFrame(data, "id string, document_id string, source_text string, ocr_text string, canonical_text string")
+    whole = S.fit((d, s, t) for _, d, s, t, _ in data if s is not None and t is not None)
+    for part in (df, df.repartition(5)):
+        got = S.fitted(part)
+        assert "zygomorph" in got.lexicon and "herehere" not in got.lexicon
+        assert (got.start, got.steps, got.symbols, got.forms, got.lexicon) == (whole.start, whole.steps, whole.symbols, whole.forms, whole.lexicon)
+
+
+def test_misread_last_lines_are_no_headers():
+    """However often the form was seen, a short last line whose words are misread ones of the witness is its text."""
+    source = text([*BODY, "See the pending closure."])
+    odd, other = text([*BODY, "thc pendlng cl0sure."]), text([*BODY, "zq vx oddly set."])
+    m = S.fit(rows() + [(DOC, source, odd)] * 30 + [(DOC, source, other)] * 30)
+    r = S.read(odd, S._title_words(DOC), S.Witness(source), m)
+    assert r.defects == {"misread"} and r.fixes["cl0sure"] == "closure"
+    assert S.read(other, S._title_words(DOC), S.Witness(source), m).defects == {"running-header"}
+
+
+def test_rare_leftovers_are_no_known_words():
+    """Three odd sources in many do not make a word."""
+    assert "ach" in S.fit([(None, "еach ach", "a")] * 3).lexicon
+    assert "ach" not in S.fit([(None, "each word", "a")] * 12_000 + [(None, "ach", "a")] * 3).lexicon

@@ -3,13 +3,14 @@
 One clean state and one state per pair (encoding of the text, encoding it was read in) label the
 characters beyond ASCII and the signs that follow them. Emissions are conditional on the sign before;
 those of a pair come from clean text of the corpus itself that is encoded and misread by the pair, so
-no labelled data are needed. The clean text is found by the model too: fitted on a bounded sample of
-documents, it labels the sample, and is fitted again on the documents that it finds clean.
+no labelled data are needed. The clean text is found by the model too: fitted on all documents without
+evident faults, it labels all documents, and is fitted again on those that it finds clean. The tasks take
+documents apart and count; the driver gets the counts of neighbouring signs.
 
 Observations are looked up for a block of documents at once. A visit of a state must gain more than entering
 and leaving it cost, so a document is searched only if some stretch of it can pay that price, and only
 over the states that can; these are bounds, not filters, and leave the labels unchanged. The prices are
-estimated from the labels of the sample.
+estimated from the labels of all documents.
 
 Each labelled span gets its state's inverse: it is encoded as it was read and decoded as it was
 written. Spans whose bytes were lost (U+FFFD) are reported but kept.
@@ -24,7 +25,7 @@ import codecs
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,11 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions.frames import frame
-from folia.plans.samples import bounded_sample
 
-#: Documents of the fitting sample, at most.
-SAMPLE_DOCS = 4_000
-#: Documents of the sample that a sign must stand in to count as known.
+#: Documents that a sign must stand in to count as known.
 KNOWN_DOCS = 5
 #: Natural log of the probability of entering any one pair's state, of staying in it and of leaving it, at first.
 ENTER, STAY, LEAVE = -11.0, -0.02, -4.0
@@ -46,6 +44,8 @@ BACKOFF, UNSEEN, SIGNS = 2.0, 0.5, 20_000
 
 #: Characters of the documents that are looked up together.
 BLOCK_CHARS = 400_000
+#: Distinct runs that a task holds before it sends their counts on, and rows of a model that are computed together.
+HELD_RUNS, BLOCK_ROWS = 100_000, 1 << 15
 
 #: (written in, read in), fixed values; a pair with three names was misread twice.
 PAIRS = (
@@ -271,8 +271,8 @@ def _writable(signs: set[str], name: str) -> set[str]:
     return out
 
 
-def _fit_once(found: Counter) -> Model:
-    """A model from counts of clean (before, run, after) snippets."""
+def _tables(found: dict[tuple[str, str, str], int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(table, key, count) of the neighbours in clean (before, run, after) snippets, as written and misread by each pair."""
     snips = [s for s in found if EDGE not in "".join(s)]
     weights = np.array([found[s] for s in snips], np.float64)
     signs = {c for s in snips for c in "".join(s)}
@@ -283,20 +283,21 @@ def _fit_once(found: Counter) -> Model:
         each = [(misread("".join(snips[i]), pair), i) for i in fits[pair[0]]]
         kept = [((g, "", ""), i) for g, i in each if g is not None and EDGE not in g]
         tables.append(_counted([g for g, _ in kept], weights[[i for _, i in kept]]) if kept else {})
-    low = 0xFFFFFFFF
-    keys = np.array(sorted(set().union(*tables)), np.uint64)
-    seconds = np.array(sorted({int(k) & low for k in keys}), np.uint32)
-    place = {int(y): i for i, y in enumerate(seconds)}
-    firsts = {x: i for i, x in enumerate(sorted({int(k) >> 32 for k in keys}))}
-    two = np.zeros((len(keys), len(tables)))
-    one = np.zeros((len(seconds), len(tables)))
-    before = np.zeros((len(firsts), len(tables)))
-    of = {int(k): i for i, k in enumerate(keys)}
-    for t, counts in enumerate(tables):
-        for k, n in counts.items():
-            two[of[k], t] += n
-            one[place[k & low], t] += n
-            before[firsts[k >> 32], t] += n
+    table = np.repeat(np.arange(len(tables)), [len(c) for c in tables])
+    return table, np.array([k for c in tables for k in c], np.int64), np.array([n for c in tables for n in c.values()], np.int64)
+
+
+def _model(table: np.ndarray, key: np.ndarray, count: np.ndarray) -> Model:
+    """A model from the counts of :func:`_tables`, each (table, key) once."""
+    order = np.argsort(key, kind="stable")
+    table, key, count = table[order], key[order], count[order].astype(np.float64)
+    keys = np.unique(key)
+    firsts, first = np.unique(key >> 32, return_inverse=True)
+    seconds, second = np.unique(key & 0xFFFFFFFF, return_inverse=True)
+    one = np.zeros((len(seconds), len(PAIRS) + 1))
+    before = np.zeros((len(firsts), len(PAIRS) + 1))
+    np.add.at(one, (second, table), count)
+    np.add.at(before, (first, table), count)
     totals = one.sum(axis=0)
     base = (one + UNSEEN / SIGNS) / (totals + UNSEEN)
     unseen = UNSEEN / SIGNS / (totals + UNSEEN)
@@ -305,15 +306,20 @@ def _fit_once(found: Counter) -> Model:
         logs = np.log(p)
         return (logs[..., 1:] - logs[..., :1]).astype(np.float32)
 
-    y = np.array([place[int(k) & low] for k in keys], np.int64)
-    x = np.array([firsts[int(k) >> 32] for k in keys], np.int64)
-    ratio = against((two + BACKOFF * base[y]) / (before[x] + BACKOFF)) if len(keys) else np.zeros((0, len(PAIRS)), np.float32)
     # A sign after an unseen sign is judged alone; a sign that no state has seen says nothing.
-    rows = np.vstack([ratio, against(base), np.minimum(against(unseen), 0.0)[None, :]])
-    # Sentinels keep the sorted keys from being empty.
-    if not len(keys):
-        keys, seconds, rows = np.array([0], np.uint64), np.array([0], np.uint32), np.vstack([rows[-1]] * 3)
-    return Model(keys, seconds, rows)
+    if not len(keys):  # sentinels keep the sorted keys from being empty
+        return Model(np.array([0], np.uint64), np.array([0], np.uint32), np.vstack([np.minimum(against(unseen), 0.0)] * 3))
+    rows = np.empty((len(keys) + len(seconds) + 1, len(PAIRS)), np.float32)
+    for i in range(0, len(keys), BLOCK_ROWS):
+        part = keys[i : i + BLOCK_ROWS]
+        a, b = np.searchsorted(key, part[0]), np.searchsorted(key, part[-1], "right")
+        two = np.zeros((len(part), len(PAIRS) + 1))
+        two[np.searchsorted(part, key[a:b]), table[a:b]] = count[a:b]
+        y, x = np.searchsorted(seconds, part & 0xFFFFFFFF), np.searchsorted(firsts, part >> 32)
+        rows[i : i + len(part)] = against((two + BACKOFF * base[y]) / (before[x] + BACKOFF))
+    rows[len(keys) : -1] = against(base)
+    rows[-1] = np.minimum(against(unseen), 0.0)
+    return Model(keys.astype(np.uint64), seconds.astype(np.uint32), rows)
 
 
 def _inverts(run: str, known: set[str]) -> bool:
@@ -330,25 +336,32 @@ def _inverts(run: str, known: set[str]) -> bool:
     return False
 
 
+def _odd(run: str, known: set[str]) -> bool:
+    return "�" in run or _inverts(run, known)
+
+
+def _set_prices(model: Model, spans: int, places: int, signs: int) -> Model:
+    """Transitions from the counts of spans, of their places and of all signs, on top of one span that the first prices would give."""
+    clean = math.exp(-ENTER) / len(PAIRS) + signs
+    model.enter, model.leave = math.log((1 + spans) / clean / len(PAIRS)), math.log((1 + spans) / (math.exp(-LEAVE) + places))
+    return model
+
+
 def fit(texts: Iterable[str], *, rounds: int = 1) -> Model:
-    """The model of a sample; starts from documents without runs that are UTF-8 when read back.
+    """The model of texts; starts from documents without runs that are UTF-8 when read back.
 
-    The labels of each round give the next one its clean documents and its transitions: the counts of spans,
-    of their places and of clean places, on top of one span that the first prices would give.
+    The labels of each round give the next one its clean documents and its transitions.
     """
     texts = list(texts)
     docs = [list(snippets(t)) for t in texts]
     common = Counter(c for d in docs for c in {c for s in d for c in s[1]})
     known = {c for c, n in common.items() if n >= KNOWN_DOCS}
-    odd = {s for d in docs for s in set(d) if "�" in s[1] or _inverts(s[1], known)}
-    model = _fit_once(Counter(s for d in docs if odd.isdisjoint(d) for s in d))
+    odd = {s for d in docs for s in set(d) if _odd(s[1], known)}
+    model = _model(*_tables(Counter(s for d in docs if odd.isdisjoint(d) for s in d)))
     for _ in range(rounds):
         labels = model.label_all(texts)
-        model = _fit_once(Counter(s for d, t, spans in zip(docs, texts, labels) if "�" not in t and not spans for s in d))
-        spans = 1 + sum(map(len, labels))
-        places = math.exp(-LEAVE) + sum(b - a for found in labels for a, b, _ in found)
-        clean = math.exp(-ENTER) / len(PAIRS) + sum(len(s[1]) for d in docs for s in d)
-        model.enter, model.leave = math.log(spans / clean / len(PAIRS)), math.log(spans / places)
+        model = _model(*_tables(Counter(s for d, t, spans in zip(docs, texts, labels) if "�" not in t and not spans for s in d)))
+        _set_prices(model, sum(map(len, labels)), sum(b - a for found in labels for a, b, _ in found), sum(len(s[1]) for d in docs for s in d))
     return model
 
 
@@ -363,20 +376,101 @@ def repaired(text: str, spans: list[tuple[int, int, int]]) -> tuple[str, int]:
     return "".join([*out, text[at:]]), done
 
 
-def fitted(df: DataFrame, *, id_col: str, text_col: str, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """The model of at most ``sample_docs`` documents with signs beyond ASCII, those of the lowest id hash."""
-    some = df.select(id_col, text_col).where(F.col(text_col).rlike(r"[^\x00-\x7f]"))
-    rows = bounded_sample(some, [id_col], sample_docs).select(text_col).toPandas()
-    return fit(rows[text_col].tolist())
+def _known(texts: DataFrame) -> set[str]:
+    """Signs beyond ASCII of at least ``KNOWN_DOCS`` texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        docs: Counter = Counter()
+        for pdf in batches:
+            for text in pdf["text"]:
+                docs.update({c for c in set(text) if c > "\x7f"})
+        yield frame(docs.items(), ["sign", "n"])
+
+    counted = texts.mapInPandas(run, "sign string, n long").groupBy("sign").agg(F.sum("n").alias("n"))
+    return {r.sign for r in counted.where(F.col("n") >= KNOWN_DOCS).collect()}
+
+
+def _fit_all(texts: DataFrame, clean: Callable[[], Callable[[list[str]], Iterator[tuple[bool, list, tuple[int, int]]]]]) -> tuple[Model, list[int]]:
+    """A model of all clean texts, and the sums for :func:`_set_prices`; ``clean`` makes what says of each text: whether it is clean, its snippets, its spans and their places."""
+
+    def take_apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        judge, names = clean(), ["what", "before", "run", "after", "n"]
+        found: Counter = Counter()
+        sums = [0, 0, 0]
+        for pdf in batches:
+            for fine, snips, (spans, places) in judge(pdf["text"].tolist()):
+                if fine:
+                    found.update(snips)
+                sums = [sums[0] + spans, sums[1] + places, sums[2] + sum(len(s[1]) for s in snips)]
+            if len(found) > HELD_RUNS:
+                yield frame(((0, *s, n) for s, n in found.items()), names)
+                found.clear()
+        yield frame([*((0, *s, n) for s, n in found.items()), *((-1 - i, "", "", "", n) for i, n in enumerate(sums))], names)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = {}
+            for what, *snip, n in pdf.itertuples(index=False, name=None):
+                if what:
+                    yield frame([(what, 0, n)], ["t", "k", "n"])
+                else:
+                    found[tuple(snip)] = n
+            if found:
+                yield pd.DataFrame(dict(zip("tkn", _tables(found))))
+
+    keys = ["what", "before", "run", "after"]
+    runs = texts.mapInPandas(take_apart, "what int, before string, run string, after string, n long").groupBy(*keys).agg(F.sum("n").alias("n"))
+    counted = runs.mapInPandas(count, "t int, k long, n long").groupBy("t", "k").agg(F.sum("n").alias("n")).toPandas()
+    t, k, n = (counted[c].to_numpy(np.int64) for c in "tkn")
+    return _model(t[t >= 0], k[t >= 0], n[t >= 0]), [int(n[t == -1 - i].sum()) for i in range(3)]
+
+
+def fitted(df: DataFrame, *, text_col: str) -> Model:
+    """The model of all documents with signs beyond ASCII: that of :func:`fit`, counted by the tasks.
+
+    What reaches the driver grows with the pairs of signs that stand side by side, not with the documents.
+    """
+    texts = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike(r"[^\x00-\x7f]"))
+    context = df.sparkSession.sparkContext
+    known = context.broadcast(_known(texts))
+
+    def at_first() -> Callable:
+        seen: dict[str, bool] = {}
+
+        def judge(batch: list[str]) -> Iterator[tuple[bool, list, tuple[int, int]]]:
+            if len(seen) > HELD_RUNS:
+                seen.clear()
+            for text in batch:
+                snips = list(snippets(text))
+                for _, run, _ in snips:
+                    if run not in seen:
+                        seen[run] = _odd(run, known.value)
+                yield not any(seen[run] for _, run, _ in snips), snips, (0, 0)
+
+        return judge
+
+    first = context.broadcast(_state(_fit_all(texts, at_first)[0]))
+
+    def by_model() -> Callable:
+        model = Model(*first.value)
+
+        def judge(batch: list[str]) -> Iterator[tuple[bool, list, tuple[int, int]]]:
+            for text, spans in zip(batch, model.label_all(batch)):
+                yield not spans and "�" not in text, list(snippets(text)), (len(spans), sum(b - a for a, b, _ in spans))
+
+        return judge
+
+    model, sums = _fit_all(texts, by_model)
+    return _set_prices(model, *sums)
 
 
 def _state(m: Model) -> tuple:
     return m.pairs, m.signs, m.rows, m.enter, m.stay, m.leave
 
 
-def restored(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, with_text: bool = True) -> DataFrame:
+def restored(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """Affected rows: id, n_spans, n_restored, encodings, restored_text (without the last if not ``with_text``)."""
-    model = fitted(df, id_col=id_col, text_col=text_col, sample_docs=sample_docs)
+    model = fitted(df, text_col=text_col)
     shared = df.sparkSession.sparkContext.broadcast(_state(model))
     kind = df.schema[id_col].dataType.simpleString()
 

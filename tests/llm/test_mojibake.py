@@ -60,3 +60,17 @@ def test_rows(spark):
     got = M.restored(df, id_col="doc_id").collect()
     assert [r.doc_id for r in got] == [1000, 1000] and got[0].restored_text == CLEAN[0]
     assert M.restored(df.where("false"), id_col="doc_id").collect() == []
+
+
+def test_model_comes_from_all_documents(spark):
+    """More documents than any bound, garbled and lossy ones among them: the model is that of all, whatever the partitions."""
+    rnd, docs = random.Random(5), corpus()
+    texts = [f"{rnd.choice(docs)} {k}" for k in range(5_500)] + ["ascii only", "zero \0é and é\0"]
+    texts += [M.misread(CLEAN[k % 3], ("utf-8", "cp1252")) + f" {k}" for k in range(90)] + ["Avant. La mémoire réservée.".encode("cp1252").decode("utf-8", "replace")] * 3
+    texts += ["þorn stands here"] * 2
+    whole = M.fit(t for t in texts if not t.isascii())
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None, ""])], "doc_id long, text string")
+    for part in (df, df.repartition(3)):
+        got = M.fitted(part, text_col="text")
+        assert ord("þ") in got.signs and (got.pairs == whole.pairs).all() and (got.signs == whole.signs).all() and (got.rows == whole.rows).all()
+        assert (got.enter, got.leave) == (whole.enter, whole.leave)

@@ -1,8 +1,9 @@
 """Pages located in recovered sources: n-gram shortlists, matching blocks, line ranges of pages and regions.
 
-Candidates come from a join of distinct n-grams inside one document, so a common phrase only meets the files
-of its own manual; the join is pre-aggregated to one count per page and file. Matching blocks depend on the
-order of tokens, so each shortlisted pair is one row of an Arrow batch.
+Candidates come from the distinct n-grams of one document, so a common phrase only meets the files of its own
+manual. Blocks of its pages meet blocks of its files in one task, which numbers the n-grams and counts the shared ones
+per page; no pair of a page and a file is a row before the count. Matching blocks depend on the order of tokens, so
+each shortlisted pair is one row of an Arrow batch.
 
 Defined results: pages and files without tokens have no candidates; a page of fewer than ``LEAST_TOKENS``
 tokens is not aligned; ties go to the lower path.
@@ -13,16 +14,23 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from folia.functions import text as T
 from folia.functions.frames import frame
 from folia.operators.typeset import DIRECTIVE, source_lines, visible
+from folia.plans.broadcasts import small_side
+from folia.plans.lineage import Cuts
 
 #: Files on a shortlist, tokens of a page at least, size of a block, lines between clusters, lines of context.
 SHORTLIST, LEAST_TOKENS, BLOCK, GAP, CONTEXT = 6, 10, 2, 20, 30
+#: Pages and files of one document that meet in a task at most, nearly; numbers of tokens from which three don't fit in 63 bits.
+PAGES, FILES, GRAM_KINDS = 1_000, 4_000, 2_000_000
 SHOWN = ("chapter", "defspec", "defun", "defun1", "exdent", "item", "kitem", "section", "subsection")
 
 
@@ -38,16 +46,100 @@ def source_tokens(sources: DataFrame, *keep: str) -> DataFrame:
     return g.select("source_path", *keep, F.flatten(F.transform("r", lambda x: x["t"])).alias("tokens"), F.flatten(F.transform("r", lambda x: F.transform(x["t"], lambda _: x["line_no"]))).alias("lines"))
 
 
+def _numbered(*lists: pa.ChunkedArray) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """For columns of token lists: the number of every token and the list it stands in; and how many numbers there are."""
+    flat = [pa.concat_arrays([c.flatten() for c in x.chunks]) if x.num_chunks else pa.array([], x.type.value_type) for x in lists]
+    code = pa.concat_arrays([c.cast(pa.string()) for c in flat]).dictionary_encode()
+    numbers, out = code.indices.to_numpy(zero_copy_only=False).astype(np.int64), []
+    for x, c in zip(lists, flat):
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(x), 0), dtype=np.int64)
+        out.append((numbers[: len(c)], np.repeat(np.arange(len(x)), sizes)))
+        numbers = numbers[len(c) :]
+    return out, max(1, len(code.dictionary))
+
+
+def _runs(numbers: np.ndarray, row: np.ndarray, kinds: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``size`` tokens inside each list as one number each, and where they begin. Equal numbers are equal runs."""
+    n = max(0, len(numbers) - size + 1)
+    code = numbers[:n].copy()
+    for k in range(1, size):
+        code = code * kinds + numbers[k : k + n]
+    begin = np.flatnonzero(row[:n] == row[size - 1 : size - 1 + n])
+    return code[begin], begin
+
+
+def _spans(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each span, one span after the other."""
+    return np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(start, many)
+
+
+def _overlaps(pages: pa.Table, files: pa.Table, size: int) -> pa.Table:
+    """(page_id, source_path, overlap) of pages and files of one document; the ``size`` first of a page, or all if it comes again elsewhere."""
+    ((pt, prow), (ft, frow)), kinds = _numbered(pages["tokens"], files["tokens"])
+    if kinds >= GRAM_KINDS:  # three numbers no longer fit in one: number the pairs
+        _, pair = np.unique(np.append(pt[:-1] * kinds + pt[1:], ft[:-1] * kinds + ft[1:]), return_inverse=True)
+        gram = lambda t, row, pair: (pair[: max(0, len(t) - 2)] * kinds + t[2:], row)
+        cut = max(0, len(pt) - 1)
+        codes = [gram(pt, prow, pair[:cut]), gram(ft, frow, pair[cut:])]
+        (pg, pat), (fg, fat) = ((c[at], at) for c, row in codes for at in [np.flatnonzero(row[: len(c)] == row[2 : 2 + len(c)])])
+    else:
+        (pg, pat), (fg, fat) = _runs(pt, prow, kinds, 3), _runs(ft, frow, kinds, 3)
+    known, fg = np.unique(fg, return_inverse=True)
+    paths = pc.unique(files["source_path"]).take(pc.sort_indices(pc.unique(files["source_path"]), null_placement="at_start"))
+    number = np.asarray(pc.index_in(files["source_path"], value_set=paths), dtype=np.int64)
+    n, m = files.num_rows, len(known)
+    # Files of each gram, one gram after the other; grams of each page, one page after the other.
+    held = np.unique(fg * n + frow[fat])
+    of, where = number[held % n], np.searchsorted(held // n, np.arange(m + 1))
+    at = np.minimum(np.searchsorted(known, pg), max(0, m - 1))
+    both = known[at] == pg if m else np.zeros(len(pg), bool)
+    asked = np.unique(prow[pat][both] * m + at[both])
+    page, gram_ = asked // max(1, m), asked % max(1, m)
+    ends = np.searchsorted(page, np.arange(pages.num_rows + 1))
+    again, out = pages["again"].to_pylist(), ([], [], [])
+    for k in np.unique(page).tolist():
+        g = gram_[ends[k] : ends[k + 1]]
+        shared = np.bincount(of[_spans(where[g], where[g + 1] - where[g])], minlength=len(paths))
+        some = np.flatnonzero(shared)
+        if not again[k]:
+            some = some[np.argsort(-shared[some], kind="stable")[:size]]
+        out[0].append(np.full(len(some), k))
+        out[1].append(some)
+        out[2].append(shared[some])
+    k, f, c = (np.concatenate([np.zeros(0, np.int64), *x]) for x in out)
+    return pa.table({"page_id": pages["page_id"].take(pa.array(k)), "source_path": paths.take(pa.array(f)), "overlap": pa.array(c, pa.int64())})
+
+
+def _blocks(pages: DataFrame, files: DataFrame) -> tuple[GroupedData, GroupedData]:
+    """Pages and files by document, large documents in blocks: every page of a block meets every file of one."""
+    n = pages.groupBy("document_id").agg(F.ceil(F.count(F.lit(1)) / PAGES).cast("int").alias("np")).join(files.groupBy("document_id").agg(F.ceil(F.count(F.lit(1)) / FILES).cast("int").alias("nf")), "document_id")
+    n = small_side(n)
+    block = lambda c, many: F.pmod(F.xxhash64(c), F.col(many)).cast("int")
+    each = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    a = pages.join(n, "document_id").withColumns({"pb": block("page_id", "np"), "fb": each("nf")}).drop("np", "nf")
+    b = files.join(n, "document_id").withColumns({"fb": block("source_path", "nf"), "pb": each("np")}).drop("np", "nf")
+    key = ["document_id", "pb", "fb"]
+    return a.groupBy(*key), b.groupBy(*key)
+
+
+def _shortlist(pages: DataFrame, files: DataFrame, size: int) -> DataFrame:
+    again = small_side(pages.groupBy(F.col("page_id").alias("_page")).count().where("count > 1"))
+    a = pages.join(again, F.col("page_id").eqNullSafe(F.col("_page")), "left").select("document_id", "page_id", "tokens", F.col("count").isNotNull().alias("again"))
+    b = files.select("document_id", "source_path", "tokens")
+    a, b = _blocks(a, b)
+    shared = a.cogroup(b).applyInArrow(lambda x, y: _overlaps(x, y, size), "page_id string, source_path string, overlap bigint")
+    shared = shared.groupBy("page_id", "source_path").agg(F.sum("overlap").alias("overlap"))
+    w = Window.partitionBy("page_id").orderBy(F.desc("overlap"), "source_path")
+    return shared.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= size)
+
+
 def shortlist(pages: DataFrame, files: DataFrame, *, size: int = SHORTLIST) -> DataFrame:
     """(page_id, source_path, overlap, rank): the files of a page's document that share most distinct 3-grams with it.
 
     ``pages`` holds document_id, page_id and tokens, ``files`` document_id, source_path and tokens.
     """
-    a = pages.select("document_id", "page_id", F.explode(T.ngrams(F.col("tokens"))).alias("gram"))
-    b = files.select("document_id", "source_path", F.explode(T.ngrams(F.col("tokens"))).alias("gram"))
-    shared = a.join(b, ["document_id", "gram"]).groupBy("page_id", "source_path").agg(F.count(F.lit(1)).alias("overlap"))
-    w = Window.partitionBy("page_id").orderBy(F.desc("overlap"), "source_path")
-    return shared.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= size)
+    cuts = Cuts(pages.sparkSession, "shortlist")
+    return _shortlist(cuts.write(pages)[0], cuts.write(files)[0], size)
 
 
 def _cluster(tokens: Sequence[str], lines: Sequence[int], page: Sequence[str]) -> tuple[int, int, int] | None:

@@ -74,3 +74,42 @@ def test_pages_are_located_in_their_source(spark):
     regions = spark.createDataFrame([("p1", f"r{k}", k, page[k]) for k in range(10)] + [("p1", "r99", 99, None)], "page_id string, region_id string, reading_order int, text string")
     each = {r.region_id: r for r in A.align_regions(regions, f, A.align_pages(pages, f)).collect()}
     assert all((each[f"r{k}"].start_line, each[f"r{k}"].coverage) == (41 + k, 1000) for k in range(10)) and each["r99"].matched == 0
+
+
+def test_shortlist_against_brute_force(spark, monkeypatch):
+    rnd = random.Random(3)
+    text = lambda n: [rnd.choice("abcd") for _ in range(n)]
+    files = [(f"d{k % 2}", f"f{k % 14}" if k < 16 else None, text(rnd.randrange(60))) for k in range(17)]
+    pages = [(f"d{k % 2}", f"p{k % 21}", text(rnd.randrange(40))) for k in range(24)] + [("d0", None, text(30)), ("d1", None, text(30)), ("none", "x", text(30))]
+    grams = lambda t: {tuple(t[i : i + 3]) for i in range(len(t) - 2)}
+    want = {}
+    for d, p, t in pages:
+        for e, f, u in files:
+            if d == e and (n := len(grams(t) & grams(u))):
+                want[p, f] = want.get((p, f), 0) + n
+    best = set()
+    for p in {p for p, _ in want}:
+        order = sorted(((-n, f or "", f) for (q, f), n in want.items() if q == p), key=lambda x: x[:2])
+        best |= {(p, f, -n, k + 1) for k, (n, _, f) in enumerate(order[:6])}
+    a = spark.createDataFrame(pages, "document_id string, page_id string, tokens array<string>")
+    b = spark.createDataFrame(files, "document_id string, source_path string, tokens array<string>")
+    assert {tuple(r) for r in A.shortlist(a, b).collect()} == best
+    # The same counts in small blocks, and with pairs of tokens numbered first.
+    monkeypatch.setattr(A, "PAGES", 5)
+    monkeypatch.setattr(A, "FILES", 3)
+    assert {tuple(r) for r in A.shortlist(a, b).collect()} == best
+    table = lambda rows, c: A.pa.table({c: [r[1] for r in rows], "tokens": [r[2] for r in rows], "again": [True] * len(rows)})
+    x, y = table([r for r in pages if r[0] == "d0"], "page_id"), table([r for r in files if r[0] == "d0"], "source_path")
+    plain = A._overlaps(x, y, 6)
+    monkeypatch.setattr(A, "GRAM_KINDS", 2)
+    assert plain.num_rows and A._overlaps(x, y, 6).equals(plain)
+
+
+def test_shortlist_makes_no_row_for_each_shared_phrase(spark):
+    """200 pages and 200 files of one text: 40 000 pairs, 4 million shared phrases, of which the plan joins none."""
+    t = [str(k) for k in range(102)]
+    a = spark.createDataFrame([("d", f"p{k}", t) for k in range(200)], "document_id string, page_id string, tokens array<string>")
+    b = spark.createDataFrame([("d", f"f{k:03d}", t) for k in range(200)], "document_id string, source_path string, tokens array<string>")
+    got = A.shortlist(a, b)
+    assert "gram" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.source_path, r.overlap, r["rank"]) for r in got.collect()} == {(f"f{k:03d}", 100, k + 1) for k in range(6)} and got.count() == 1200

@@ -127,6 +127,5 @@ def source_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def region_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of the page's file that each region matches."""
-    pages, files = _inputs(spark, sf_dir)
-    regions = _regions(spark, sf_dir).select("page_id", F.col("id").alias("region_id"), F.col("id").alias("reading_order"), F.col("ocr_text").alias("text"))
-    return A.align_regions(regions, files, A.align_pages(pages, files))
+    regions = _regions(spark, sf_dir).select("document_id", "page_id", F.col("id").alias("region_id"), F.col("id").alias("reading_order"), F.col("ocr_text").alias("text"))
+    return A.locate_regions(regions, A.source_tokens(table(spark, sf_dir, "sources").where("document_id is not null"), "document_id"))

@@ -113,3 +113,63 @@ def test_shortlist_makes_no_row_for_each_shared_phrase(spark):
     got = A.shortlist(a, b)
     assert "gram" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.source_path, r.overlap, r["rank"]) for r in got.collect()} == {(f"f{k:03d}", 100, k + 1) for k in range(6)} and got.count() == 1200
+
+
+def test_matching_blocks_are_those_of_the_sequence_matcher():
+    rnd = random.Random(12)
+    for k in range(600):
+        a, b = ([rnd.choice("abcdefghijklmnop"[: 2 + k % 14]) for _ in range(rnd.randrange(70))] for _ in range(2))
+        if k % 3 == 0:
+            b[5:5] = a[10:40]
+        want = [tuple(m) for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if m.size]
+        assert A._all_matching(a, b) == want, (a, b)
+        files = A.pa.table({"source_path": ["f"], "tokens": [a], "lines": A.pa.array([[30 * n for n in range(len(a))]], A.pa.list_(A.pa.int32()))})
+        got = A._aligned(A.pa.table({"page_id": ["p"], "tokens": [b], "again": [False]}), files, 6).to_pylist()
+        best = A._cluster([m for m in want if m[2] > 1], [30 * n for n in range(len(a))])
+        assert not got and not any(n > 2 for *_, n in want) or (got[0]["start_line"], got[0]["end_line"], got[0]["matched_tokens"]) == (best or (None,) * 3)
+
+
+def test_pages_against_the_sequence_matcher_in_blocks(spark, monkeypatch):
+    rnd = random.Random(9)
+    text = lambda n: [rnd.choice("abcdefgh") for _ in range(n)]
+    files = [("d", f"f{k:02d}", text(200), [1 + n // 4 for n in range(200)]) for k in range(15)]
+    pages = [("d", f"p{k:02d}", text(20) + files[k % 15][2][60:90] + text(9)) for k in range(30)]
+    a, b = spark.createDataFrame(pages, "document_id string, page_id string, tokens array<string>"), spark.createDataFrame(files, "document_id string, source_path string, tokens array<string>, lines array<int>")
+    grams = lambda t: {tuple(t[i : i + 3]) for i in range(len(t) - 2)}
+    want = set()
+    for _, p, t in pages:
+        near = sorted(files, key=lambda f: (-len(grams(t) & grams(f[2])), f[1]))[:6]
+        each = []
+        for _, f, u, lines in near:
+            blocks = [m for m in SequenceMatcher(None, u, t, autojunk=False).get_matching_blocks() if m.size > 1]
+            x, y, n = A._cluster(blocks, lines)
+            each.append((-(n * 1000 // len(t)), f, x, y, n))
+        each.sort()
+        want.add((p, each[0][1], *each[0][2:], len(t), -each[0][0], -each[1][0]))
+    columns = ("page_id", "source_path", "start_line", "end_line", "matched_tokens", "page_tokens", "coverage", "runner_up")
+    for most in (1000, 4):
+        monkeypatch.setattr(A, "PAGES", most)
+        monkeypatch.setattr(A, "FILES", most)
+        got = A.align_pages(a, b)
+        assert got.columns == list(columns) and {tuple(r) for r in got.collect()} == want
+
+
+def test_regions_are_located_from_one_grouping(spark):
+    rnd = random.Random(10)
+    text = lambda n: " ".join(rnd.choice("abcdefgh") + str(rnd.randrange(9)) for _ in range(n))
+    files = [(f"d{k % 2}", f"f{k}", "\n".join(text(6) for _ in range(50))) for k in range(6)]
+    rows = []
+    for k in range(12):
+        lines = files[k % 6][2].split("\n")
+        rows += [(f"d{k % 2}" if k < 11 else None, f"p{k % 10}", f"r{k:02d}{n}", lines[20 + n] if n else None) for n in range(5)]
+    regions = spark.createDataFrame([(d, p, r, r, t) for d, p, r, t in rows], "document_id string, page_id string, region_id string, reading_order string, text string")
+    f = A.source_tokens(spark.createDataFrame([*files, ("d0", "bare", ".blank\n\n")], "document_id string, source_path string, text string"), "document_id")
+    assert f.count() == 6
+    t = A.T.locator_tokens(A.F.coalesce("text", A.F.lit("")))
+    each = regions.where("document_id is not null").withColumn("t", t).groupBy("document_id", "page_id")
+    pages = each.agg(A.F.flatten(A.F.transform(A.F.array_sort(A.F.collect_list(A.F.struct("region_id", "t"))), lambda x: x["t"])).alias("tokens"))
+    want = {tuple(r) for r in A.align_regions(regions, f, A.align_pages(pages, f)).collect()}
+    got = A.locate_regions(regions, f)
+    assert len(want) == 60 and {tuple(r) for r in got.collect()} == want
+    # Regions and sources are read from the cuts alone.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 0
